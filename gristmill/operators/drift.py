@@ -149,7 +149,7 @@ def ingest(lines: DataFrame, file_table: DataFrame, target: dict[str, str] = TAR
     """
     body = lines.where("line_no > 0 and content is not null").select("file_id", "line_no", F.split("content", ",", -1).alias("__v"))
     body = split_join(body, file_table.select("file_id", F.col("headers").alias("__h")), "file_id", "left")
-    zipped = F.filter(F.arrays_zip(F.col("__h").alias("h"), F.transform("__v", lambda v: F.trim(v)).alias("v")), lambda x: x["v"].isNotNull() & ~spelled(x["v"]).isin(*NO_VALUE))
+    zipped = F.filter(F.arrays_zip(F.coalesce("__h", F.array().cast("array<string>")).alias("h"), F.transform("__v", lambda v: F.trim(v)).alias("v")), lambda x: x["v"].isNotNull() & ~spelled(x["v"]).isin(*NO_VALUE))
     # explode(array(...)) keeps Catalyst from writing these arrays out again wherever they are used
     body = body.select("file_id", "line_no", F.explode(F.array(F.coalesce(zipped, F.array().cast("array<struct<h:string,v:string>>")))).alias("__c"))
     typed = F.struct(*(enforced(F.get(F.transform(F.filter("__c", named(name)), lambda x: x["v"]), F.lit(0)), t).alias(name) for name, t in target.items()))

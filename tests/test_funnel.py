@@ -1,0 +1,166 @@
+"""Operators of the funnel, against values worked out by hand or by brute force."""
+
+import itertools
+import json
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from gristmill import params
+from gristmill.functions import text as T
+from gristmill.functions.stats import chi_squared_tail, t_two_sided
+from gristmill.operators import extract, golden, missingness, notify, profile, reports, resolve, store
+from gristmill.operators.registry import Registry
+from gristmill.sources import files
+from gristmill.streaming.ingest import ingest_stream
+
+
+def rows(df, *cols):
+    return sorted(tuple(r[c] for c in cols) for r in df.collect())
+
+
+def test_profile_and_empty_table(spark):
+    df = spark.createDataFrame([("a", 1, True), ("a", None, None), (None, 3, False), ("b", 3, True)], "s string, n bigint, b boolean")
+    got = {r.column_name: r for r in profile.column_profile(df).collect()}
+    assert (got["s"].null_rate, got["s"].distinct_count, got["s"].inferred_type, got["s"].identifier_like) == (0.25, 2, "text", True)
+    assert (got["n"].null_rate, got["n"].distinct_count, got["b"].inferred_type) == (0.25, 2, "numeric")
+    empty = profile.column_profile(df.where("false")).collect()
+    assert {r.null_rate for r in empty} == {None} and not any(r.identifier_like for r in empty)
+
+
+def test_tails(spark):
+    r = spark.range(1).select(t_two_sided(F.lit(13.0767), F.lit(50.0386)).alias("t"), t_two_sided(F.lit(-3.3751), F.lit(17.4017)).alias("u"), chi_squared_tail(F.lit(1.17647), F.lit(2.0)).alias("c"), t_two_sided(F.lit(float("inf")), F.lit(1.0)).alias("i")).first()
+    assert r.t < 1e-15 and abs(r.u - 0.003502) < 1e-5 and abs(r.c - 0.5553) < 1e-4 and r.i == 0
+
+
+def frame(spark, data):
+    return spark.createDataFrame(data, "employee_count bigint, region_code string, compliance_flag string")
+
+
+def test_missingness_classes(spark):
+    rng = random.Random(7)
+    data = []
+    for i in range(400):
+        n = rng.randint(1, 4) if i % 4 == 0 else rng.randint(20, 500)
+        data.append((n, None if n < 5 else f"R{rng.randint(1, 9)}", None if rng.random() < 0.4 else rng.choice(["clear", "flagged"])))
+    got = {r.column_name: r for r in missingness.classify(frame(spark, data), ("employee_count", "region_code", "compliance_flag")).collect()}
+    assert (got["employee_count"].missingness_class, got["employee_count"].strategy) == ("NONE", "skip")
+    assert (got["region_code"].missingness_class, got["region_code"].explained_by) == ("MAR", "employee_count")
+    assert got["compliance_flag"].missingness_class == "MNAR"
+    assert {r.missingness_class for r in missingness.classify(frame(spark, []), ("employee_count", "region_code")).collect()} == {"NONE"}
+
+
+def test_backfill_takes_fresher_values_of_the_first_source(spark):
+    ddl = "record_id bigint, entity_key string, registration_number string, updated_at string"
+    own = spark.createDataFrame([(1, "A", None, "2026-01-01"), (2, "A", "REG-1", "2026-01-01"), (3, "B", None, "2026-03-01"), (4, "C", None, None), (5, None, None, None)], ddl)
+    one = spark.createDataFrame([(1, "A", "REG-2", "2026-02-01"), (2, "A", "REG-0", "2026-01-15"), (3, "B", "REG-3", "2026-01-01")], ddl)
+    two = spark.createDataFrame([(1, "B", "REG-4", "01.04.2026"), (2, "C", "REG-5", None), (3, "A", "REG-9", "2026-09-01")], ddl)
+    got = dict(rows(resolve.backfill(own, "registration_number", [one, two]), "row", "value"))
+    assert got == {1: "REG-2", 3: "REG-4", 4: "REG-5", 5: None}
+    assert rows(resolve.backfill(own.drop("entity_key"), "registration_number", [one]), "row") == [(1,), (3,), (4,), (5,)]
+
+
+def test_observations_and_counts(spark):
+    ddl = "record_id bigint, entity_key string, region_code double, compliance_flag string, updated_at string"
+    df = spark.createDataFrame([(1, "A", 10.0, None, "2026-01-01"), (2, "B", None, "clear", "2026-01-01"), (3, "C", 20.0, "clear", "2026-01-01")], ddl)
+    obs = resolve.observations(df, "s", ("region_code", "compliance_flag"), {"region_code": "MCAR", "compliance_flag": "MNAR"}, [])
+    got = {(r.row, r.field_name): (r.value, r.extraction_method, r.reason, r.confidence) for r in obs.collect()}
+    assert got[1, "region_code"] == ("10.0", "direct", None, 1.0) and got[2, "region_code"] == ("15.0", "imputed", None, 0.9)
+    assert got[1, "compliance_flag"] == (None, "human_review", "mnar_suspected", 0.0)
+    assert dict(rows(resolve.method_counts(obs), "extraction_method", "n")) == {"direct": 4, "imputed": 1, "human_review": 1}
+    fills = dict(rows(resolve.fill_values(spark.createDataFrame([("b", None), ("a", None), ("b", None), ("a", None)], "x string, y string"), ("x", "y")), "column_name", "fill_value"))
+    assert fills == {"x": "a", "y": "unknown"}
+
+
+def edits(a, b):
+    d = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        p, d[0] = d[0], i
+        for j, y in enumerate(b, 1):
+            p, d[j] = d[j], min(d[j] + 1, d[j - 1] + 1, p + (x != y))
+    return d[-1]
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_leaders_equal_greedy_clustering(spark, seed):
+    rng = random.Random(seed)
+    keys = list(dict.fromkeys("".join(rng.choice("AB") for _ in range(rng.randint(1, 6))) for _ in range(40)))
+    df = spark.createDataFrame([(k, i) for i, k in enumerate(keys)], "key string, first bigint")
+    assert rows(golden.near_keys(df), "a", "b") == sorted((a, b) for a, b in itertools.permutations(keys, 2) if edits(a, b) == 1)
+    lead, want = [], {}
+    for k in keys:
+        want[k] = next((x for x in lead if edits(x, k) <= 1), k)
+        lead += [k] if want[k] == k else []
+    assert dict(rows(golden.leaders(df), "key", "canonical")) == want
+
+
+def test_golden_fields_prefer_confidence_then_order(spark):
+    data = [("VENAAA111", "f", None, 0.0, "human_review", "x", 1), ("VENAAA112", "f", "clear", 0.8, "backfilled", None, 2), ("VENAAA111", "f", "late", 0.8, "direct", None, 3), ("VENZZZ999", "f", "z", 1.0, "direct", None, 4), (None, "f", "n", 1.0, "direct", None, 5)]
+    got = {r.canonical: r for r in golden.golden_fields(spark.createDataFrame(data, "key string, field_name string, value string, confidence double, extraction_method string, reason string, seq bigint")).collect()}
+    assert set(got) == {"VENAAA111", "VENZZZ999"} and got["VENAAA111"].value == "clear" and got["VENAAA111"].merged_keys == ["VENAAA111", "VENAAA112"]
+
+
+def test_registry():
+    r = Registry()
+    assert r.check("s", ["entity_key", "registration_number"]) == (1, {}, [])
+    assert r.check("s", ["entity_key", "registration_number"]) == (1, {}, [])
+    assert r.check("s", ["entity_key", "registration_no"]) == (2, {"registration_no": "registration_number"}, [])
+    assert r.check("s", ["entity_key", "registration_number", "contract_tier"]) == (3, {}, ["contract_tier"])
+
+
+def test_text_functions(spark):
+    t = "Call 512-555-0199 or a.b@example.com. SSN 123-45-6789, EIN 12-3456789. Nothing else changes."
+    df = spark.createDataFrame([(t, "Hold,\nHarmless the liabilities"), (None, None), ("", "")], "a string, b string")
+    got = df.select(T.redacted(F.col("a")).alias("r"), T.redaction_count(F.col("a")).alias("n"), T.matches_vocabulary(F.col("b")).alias("m"), T.sections(F.col("b")).alias("s")).collect()
+    assert got[0].n == 4 and got[0].r.endswith("Nothing else changes.") and "555" not in got[0].r and got[0].m
+    assert got[1].r is None and got[1].m is False and got[1].s is None and got[2].m is False
+    doc = "Preamble\nRecitals:\nOne.\n\nLimitation of Liability\nTwo may.\nGoverning Law:\n\nIndemnification:\n Three "
+    s = spark.createDataFrame([(doc,)], "t string").select(T.sections(F.col("t")).alias("s")).select("s", T.relevant(F.col("s"), ("nothing",)).alias("all"), T.relevant(F.col("s"), ("recitals",)).alias("one")).first()
+    assert [(x.section_name, x.text) for x in s.s] == [("recitals", "One."), ("limitation_of_liability", "Two may."), ("indemnification", "Three")]
+    assert len(s.all) == 3 and len(s.one) == 1
+    assert spark.createDataFrame([('x {"a": {"b": 1}} y',), ("none",)], "t string").select(T.json_in(F.col("t")).alias("j")).collect()[0].j == '{"a": {"b": 1}}'
+
+
+def test_extraction_verifies_unsure_rows_and_isolates_errors(spark):
+    def first(t):
+        return f"Sure: {json.dumps({'liability_cap_status': 'capped', 'confidence': 0.5 if 'unsure' in t else 0.97, 'evidence_span': 'it may' if 'hedge' in t else 'x'})}" if "bad" not in t else "no object"
+
+    def second(t):
+        return json.dumps({"liability_cap_status": "uncapped", "confidence": 0.4, "evidence_span": "shall not be limited"})
+
+    df = spark.createDataFrame([(1, "fine"), (2, "unsure"), (3, "hedge"), (4, "bad")], "id bigint, text string")
+    got = {r.id: r for r in extract.extract(df, "text", first, second).collect()}
+    assert [got[i].extraction_pass for i in (1, 2, 3)] == [1, 2, 2] and got[2].liability_cap_status == "uncapped" and got[4].error.startswith("ValueError")
+    gated = extract.gate(spark.createDataFrame([(0.85, True, "llm"), (0.84, True, "llm"), (0.1, False, "llm"), (None, None, "llm")], "confidence double, negation_detected boolean, extraction_method string"))
+    assert [r.reason for r in gated.collect()] == [None, "negation_ambiguous", "low_confidence", "low_confidence"]
+
+
+def test_store_is_idempotent_and_stream_ingests_once(spark, tmp_path):
+    folder = str(tmp_path / "store")
+    store.create(spark, folder)
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.csv").write_text("entity_key,x\nA,1\n")
+    (tmp_path / "in" / "b.csv").write_text("entity_key,x\nA,1\n")
+    (tmp_path / "in" / "c.csv").write_text("y,entity_key\nNA,B\n")
+    for _ in range(2):
+        q = ingest_stream(spark, str(tmp_path / "in"), folder, str(tmp_path / "cp"))
+        q.awaitTermination()
+    assert spark.read.parquet(f"{folder}/file_registry").count() == 2
+    listed = files.listing(spark, str(tmp_path / "in"), "*.csv")
+    assert [r.file_seq for r in files.new_files(listed).orderBy("file_seq").collect()] == [1, 3]
+    got = files.delimited(spark, [str(tmp_path / "in" / x) for x in ("a.csv", "c.csv")])
+    assert rows(got.select("entity_key", F.coalesce("x", F.lit("-")).alias("x"), F.coalesce("y", F.lit("-")).alias("y")), "entity_key", "x", "y") == [("A", "1", "-"), ("B", "-", "-")]
+
+
+def test_reports_and_notifications(spark):
+    pairs = spark.createDataFrame([("a", "a"), ("a", "b"), ("b", "b"), ("c", "a")], "expected string, predicted string")
+    got = {r["class"]: r for r in reports.evaluation(pairs).collect()}
+    assert (got["a"].tp, got["a"].fp, got["a"].fn, got["a"].accuracy, got["c"].precision) == (1, 1, 1, 0.5, None)
+    use = {r.model: r for r in reports.usage(spark.createDataFrame([("m", 5, None), ("m", None, 4), ("n", 1, 2)], "model string, tokens bigint, ms bigint"), "model", "tokens", "ms").collect()}
+    assert (use["m"].calls, use["m"].tokens, use["m"].avg_latency, use["TOTAL"].tokens) == (2, 5, 2.0, 6)
+    queue = spark.createDataFrame([("1", "f", None, "E"), ("2", "f", "v", None)], "field_id string, field_name string, value string, entity_key string")
+    assert [r.summary for r in notify.payloads(queue).orderBy("field_id").collect()] == ["HITL review: f=None on E", "HITL review: f='v' on None"]
+    notify.deliver(queue, lambda r: 1 / 0)
+    notify.deliver(queue, lambda r: 1 / 0, enabled=True)
+    assert params.ALPHA == 0.05
