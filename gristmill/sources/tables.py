@@ -32,3 +32,8 @@ def cut(df: DataFrame) -> DataFrame:
     """`df` written to the shared checkpoint folder and read back: cuts lineage, and survives the loss of an executor."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def spread(df: DataFrame, *columns: str, least: int = 1) -> DataFrame:
+    """`df` in as many partitions as the session shuffles to, at least `least`: for few rows that mean much work each, which adaptive execution would put into one task."""
+    return df.repartition(max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), least), *columns)
