@@ -89,3 +89,14 @@ def extract(df: DataFrame, text: str, first: Callable[[str], str], second: Calla
     done = cut(call_model(df, text, first))
     unsure = F.coalesce(needs_verify(F.col("confidence"), F.col("evidence_span")), F.lit(False))
     return done.where(~unsure).unionByName(call_model(done.where(unsure), text, second, 2))
+
+
+def prompts(df: DataFrame, template: str, text: str) -> DataFrame:
+    """df with `prompt`: the template with the section's text for its one %s."""
+    return df.withColumn("prompt", F.format_string(template, F.col(text)))
+
+
+def audit_rows(answers: DataFrame, model: str) -> DataFrame:
+    """A row for the audit table of each call: file_id, model, prompt, response (the parsed answer as JSON, the error if there was one)."""
+    response = F.coalesce("error", F.to_json(F.struct("liability_cap_status", "confidence", "evidence_span")))
+    return answers.select("file_id", F.lit(model).alias("model"), "prompt", response.alias("response"), F.sha2(F.concat_ws("\u0001", "file_id", F.lit(model), "prompt"), 256).alias("id"))

@@ -164,3 +164,24 @@ def test_reports_and_notifications(spark):
     notify.deliver(queue, lambda r: 1 / 0)
     notify.deliver(queue, lambda r: 1 / 0, enabled=True)
     assert params.ALPHA == 0.05
+
+
+def test_pages_and_audit(spark, tmp_path):
+    from gristmill.sources import pages
+
+    (tmp_path / "contract_1.pdf").write_bytes(b"A page with plenty of its own text.|")
+    (tmp_path / "broken.pdf").write_bytes(b"!")
+
+    def read(content):
+        if content == b"!":
+            raise ValueError("broken")
+        own, rest = content.decode().split("|")
+        return [(own, [], []), (rest, ["read", " ", "words"], [90.0, -1.0, 100.0])]
+
+    rows = pages.pages(spark, str(tmp_path), read)
+    assert [r.error for r in rows.where("error is not null").collect()] == ["ValueError: broken"]
+    doc = pages.documents(rows).first()
+    assert (doc.text, doc.mean_confidence, doc.n_pages, doc.entity_key) == ("A page with plenty of its own text.\n\nread words", 0.975, 2, "contract_1")
+    asked = extract.prompts(spark.createDataFrame([("f", "body")], "file_id string, text string"), "Read: %s", "text")
+    audit = extract.audit_rows(extract.call_model(asked, "prompt", lambda p: "nothing"), "m").first()
+    assert audit.prompt == "Read: body" and audit.response.startswith("ValueError")
