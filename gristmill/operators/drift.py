@@ -82,9 +82,9 @@ def changes(lines: DataFrame, registry: DataFrame) -> DataFrame:
     hold dates of about the same age; each column is in one pair at most, the best. Files without a known feed, and first
     files, have no changes. Moved columns are none. A column without any value has no type.
     """
-    f = files(lines, registry)
-    all_cells = cells(lines, f)
-    types = column_types(all_cells)
+    f = cut(files(lines, registry))
+    all_cells = cut(cells(lines, f))
+    types = cut(column_types(all_cells))
     pairs = f.where("previous is not null").select("file_id", "previous", "received_at", "headers")
     before = f.select(F.col("file_id").alias("previous"), F.col("headers").alias("old"), F.col("received_at").alias("old_received"))
     pairs = pairs.join(before, "previous")
@@ -103,10 +103,11 @@ def changes(lines: DataFrame, registry: DataFrame) -> DataFrame:
 
     linked = agree.where((F.col("same") >= SAME) & (F.col("both") >= 2)).join(aged, ["file_id", "old_header", "header"], "full")
     score = F.coalesce("same", F.lit(0.0)) + F.when(F.col("age").isNotNull(), 0.5 - F.col("age") / 100).otherwise(0.0)
-    linked = linked.withColumn("score", score)
+    linked = cut(linked.withColumn("score", score))
     one = W.partitionBy("file_id", "header").orderBy(F.desc("score"), "old_header")
     other = W.partitionBy("file_id", "old_header").orderBy(F.desc("score"), "header")
     renamed = linked.withColumn("a", F.row_number().over(one)).withColumn("b", F.row_number().over(other)).where("a = 1 and b = 1").select("file_id", "header", "old_header")
+    renamed = cut(renamed)
 
     was = types.select(F.col("file_id").alias("previous"), "header", F.col("type").alias("was"))
     retyped = pairs.select("file_id", "previous").join(types.select("file_id", "header", "type"), "file_id").join(was, ["previous", "header"]).where("type <> was")
