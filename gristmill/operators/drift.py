@@ -94,7 +94,11 @@ def changes(lines: DataFrame, registry: DataFrame) -> DataFrame:
     per_row = all_cells.where("row_key is not null and row_key <> ''").groupBy("file_id", "header", "row_key").agg(F.min(F.lower("value")).alias("value"))
     old_cells = gone.select("file_id", "previous", "old_header").join(per_row.select(F.col("file_id").alias("previous"), F.col("header").alias("old_header"), "row_key", F.col("value").alias("old_value")), ["previous", "old_header"])
     new_cells = new.join(per_row, ["file_id", "header"])
-    agree = old_cells.join(new_cells, ["file_id", "row_key"]).groupBy("file_id", "old_header", "header").agg(F.count("*").alias("both"), F.avg((F.col("value") == F.col("old_value")).cast("double")).alias("same"))
+    # numbers with decimals may move in their last places from file to file
+    a, b = F.col("value").try_cast("double"), F.col("old_value").try_cast("double")
+    near = (F.contains("value", F.lit(".")) | F.contains("old_value", F.lit("."))) & (F.abs(a - b) <= F.greatest(F.lit(1.0), F.abs(a) / 100))
+    agrees = (F.col("value") == F.col("old_value")) | F.coalesce(near, F.lit(False))
+    agree = old_cells.join(new_cells, ["file_id", "row_key"]).groupBy("file_id", "old_header", "header").agg(F.count("*").alias("both"), F.avg(agrees.cast("double")).alias("same"))
 
     old_types = types.select(F.col("file_id").alias("previous"), F.col("header").alias("old_header"), F.col("type").alias("old_type"), F.col("day").alias("old_day"))
     dated = gone.join(old_types, ["previous", "old_header"]).where("old_day is not null").join(new.join(types, ["file_id", "header"]).where("day is not null"), "file_id")
