@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from gristmill import params
 from gristmill.functions.stats import chi_squared_tail, t_two_sided, welch
-from gristmill.operators.profile import NUMBERS, null_crosstab
+from gristmill.operators.profile import NUMBERS
 
 STRATEGY = {"MCAR": "auto_impute", "MAR": "cross_file_backfill", "MNAR": "flag_for_hitl", "NONE": "skip"}
 
@@ -39,28 +39,32 @@ def category_tests(df: DataFrame, columns: tuple[str, ...]) -> DataFrame:
     Tests need two categories and both null and present targets; all-null others are left out.
     """
     types = dict(df.dtypes)
-    texts = [c for c in columns if types[c] not in NUMBERS]
     out = None
-    for b in texts:
-        ratio = df.agg((F.count_distinct(F.col(b)) / F.greatest(F.count(b), F.lit(1)) > params.ID_RATIO).alias("identifier_like"), F.count(b).alias("n_other"))
-        for a in columns:
-            if a == b:
-                continue
-            tab = null_crosstab(df, a, b)
-            sums = tab.agg(F.sum("n_null").alias("nulls"), F.sum("n_present").alias("present"), F.count("*").alias("k"))
-            full = tab.join(F.broadcast(sums)).withColumn("total", F.col("nulls") + F.col("present")).where("nulls > 0 and present > 0 and k >= 2")  # sums is one row
-            share = (F.col("n_null") + F.col("n_present")) / F.col("total")
+    for b in (c for c in columns if types[c] not in NUMBERS):
+        targets = [a for a in columns if a != b]
+        if not targets:
+            continue
+        # one pass over the rows for all targets; both uses below read the same shuffled groups
+        groups = df.groupBy(b).agg(F.count("*").alias("n"), *(F.count_if(F.col(a).isNull()).alias(f"t{i}") for i, a in enumerate(targets)))
+        known = F.col(b).isNotNull()
+        tab = groups.select(known.alias("known"), "n", F.inline(F.array(*(F.struct(F.lit(a).alias("target"), F.col(f"t{i}").alias("n_null"), (F.col("n") - F.col(f"t{i}")).alias("n_present")) for i, a in enumerate(targets)))))
+        sums = tab.groupBy("target").agg(
+            F.sum("n_null").alias("nulls"), F.sum("n_present").alias("present"), F.count("*").alias("k"), F.count_if("known").alias("d"), F.sum(F.when(F.col("known"), F.col("n")).otherwise(0)).alias("n_other")
+        )
+        full = tab.join(F.broadcast(sums), "target").withColumn("total", F.col("nulls") + F.col("present")).where("nulls > 0 and present > 0 and k >= 2 and n_other > 0")  # a row a column
+        share = (F.col("n_null") + F.col("n_present")) / F.col("total")
 
-            def term(o, e):
-                off = F.abs(F.col(o) - e)
-                return F.pow(off - F.when(F.col("k") == 2, F.least(F.lit(0.5), off)).otherwise(0.0), 2) / e
+        def term(o, e):
+            off = F.abs(F.col(o) - e)
+            return F.pow(off - F.when(F.col("k") == 2, F.least(F.lit(0.5), off)).otherwise(0.0), 2) / e
 
-            rate = F.col("n_null") / (F.col("n_null") + F.col("n_present"))
-            one = full.agg(
-                F.sum(term("n_null", share * F.col("nulls")) + term("n_present", share * F.col("present"))).alias("chi2"), (F.first("k") - 1).cast("double").alias("dof"), F.max(rate).alias("high"), F.min(rate).alias("low")
-            ).where("chi2 is not null")
-            one = one.join(F.broadcast(ratio)).where("n_other > 0").select(F.lit(a).alias("target"), F.lit(b).alias("other"), "chi2", "dof", chi_squared_tail(F.col("chi2"), F.col("dof")).alias("p"), "high", "low", "identifier_like")
-            out = one if out is None else out.unionByName(one)
+        rate = F.col("n_null") / (F.col("n_null") + F.col("n_present"))
+        one = full.groupBy("target").agg(
+            F.sum(term("n_null", share * F.col("nulls")) + term("n_present", share * F.col("present"))).alias("chi2"), (F.first("k") - 1).cast("double").alias("dof"), F.max(rate).alias("high"), F.min(rate).alias("low"),
+            (F.first("d") / F.greatest(F.first("n_other"), F.lit(1)) > params.ID_RATIO).alias("identifier_like"),
+        )
+        one = one.select("target", F.lit(b).alias("other"), "chi2", "dof", chi_squared_tail(F.col("chi2"), F.col("dof")).alias("p"), "high", "low", "identifier_like")
+        out = one if out is None else out.unionByName(one)
     return out
 
 
