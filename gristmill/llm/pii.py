@@ -76,7 +76,7 @@ class Finder:
         self.digits = re.compile(r"\d[\d ./)\n-]{6,}\d|\b[A-Z]{2}\d{7}\b")
         self.obfuscated = re.compile(r"[(\[]at[)\]]|\bdot\b", re.I)
         self.company = re.compile(r"\b(?:Works|Services|Systems|Supply|Storage|Ltd|Inc|LLC|plc|GmbH|SA|BV|Oy)$")
-        self.roads = tuple(f"{s}{end}" for s in STREETS.split("|") for end in (" ", ",", ".", "\n")) + tuple(f" {s}" for s in STREETS_SHORT.split("|")) + ("rue", "Rue", "avenue", "boulevard", "place ", "Calle", "Avenida", "Plaza", "Via", "str", "weg ", "gasse ", "platz ")
+        self.roads = tuple(f"{s}{end}" for s in STREETS.split("|") for end in (" ", ",", ".", "\n")) + tuple(f"{b}{s}" for s in STREETS_SHORT.split("|") for b in (" ", "\n")) + ("rue", "Rue", "avenue", "boulevard", "place ", "Calle", "Avenida", "Plaza", "Via", "str", "weg ", "gasse ", "platz ")
         self.hints = ("Notices", "supplier:", "Samples", "pproved", "Mail", "Contact:", "igned", "ttention", "Attn")
 
     def find(self, text: str) -> list[tuple[int, int, str]]:
