@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from gristmill.functions.values import NO_VALUE, date_of, has_number, has_text, plain_key, spelled
+from gristmill.sources.tables import cut
 
 #: A value takes part in precedence if it has at least this share of its field's rows, so a field has at most 1 / share of them.
 VALUE_SHARE = 0.005
@@ -65,9 +66,11 @@ def current_values(long: DataFrame) -> DataFrame:
     values never stand for a group; a group without values has no row.
     """
     held = long.where("value is not null").groupBy("grp", "field", "value").agg(F.max("at").alias("at"), F.max("weight").alias("weight"))
-    after = precedence(long).groupBy("field", F.col("before").alias("value")).agg(F.collect_set("after").alias("after"))
+    before = cut(precedence(long))
+    after = before.groupBy("field", F.col("before").alias("value")).agg(F.collect_set("after").alias("after"))
+    placed_values = before.select("field", F.col("after").alias("value")).distinct()  # at most 1 / VALUE_SHARE values a field, so sets of them are bounded
     undated = held.where("at is null").select("grp", "field").distinct()
-    values = held.join(undated, ["grp", "field"], "left_semi").groupBy("grp", "field").agg(F.collect_set(F.when(F.length("value") <= 64, F.col("value"))).alias("values"))
+    values = held.join(F.broadcast(placed_values), ["field", "value"], "left_semi").join(undated, ["grp", "field"], "left_semi").groupBy("grp", "field").agg(F.collect_set("value").alias("values"))
     placed = held.join(values, ["grp", "field"], "left").join(F.broadcast(after), ["field", "value"], "left")  # at most 1 / VALUE_SHARE values a field
     last = ~F.coalesce(F.arrays_overlap("after", "values"), F.lit(False))
     placed = placed.withColumn("last", last).withColumn("known", F.col("after").isNotNull())
