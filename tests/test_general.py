@@ -86,6 +86,9 @@ def test_footer_profile_equals_scan(spark, tmp_path):
         assert read == ({"chunk", "dictionary"} if size == 5 else read) and "chunk" in read
         whole = {r.column: r for r in footers.table_profile(spark, path).collect()}
         assert (whole["n"].nulls, whole["n"].low, whole["n"].high, whole["s"].nulls) == (1, "1.0", "9.0", 3)
+    loose = str(tmp_path / "n.parquet")
+    pq.write_table(pa.table({"file_id": ["a", None, "a"], "s": ["x", "y", None]}), loose)
+    assert {(r.file_id, r.rows, r.distinct_count) for r in footers.load_profiles(spark, loose).collect()} == {("a", 2, 1), (None, 1, 1)}
     empty = str(tmp_path / "e.parquet")
     pq.write_table(pa.table(data).slice(0, 0), empty)
     assert footers.load_profiles(spark, empty).count() == 0
