@@ -15,6 +15,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gristmill.llm.scans import PAGE_IN, PAGE_LINE, TITLE, TITLE_HINTS
+
 #: Titles, and common given names; both are parameters of `Finder`.
 TITLES = ("Dr", "Mr", "Mrs", "Ms", "Prof", "Ing", "Herr", "Frau", "Mme", "Sr", "Sra")
 GIVEN_NAMES = tuple(
@@ -106,6 +108,40 @@ class Finder:
         return sorted(found)
 
 
+def interruptions(text: str) -> list[tuple[int, int]]:
+    """Where running titles and page numbers stand that may part a detail, with the blank or line end after each."""
+    low, out, at = text.lower(), [], 0
+    entitled = any(h in low for h in TITLE_HINTS)
+    if "\n" in text:
+        for line in text.split("\n"):
+            if 0 < len(line) < 24 and (line[-1].isdigit() or line[-1] in "]- \r") and PAGE_LINE.match(line) or entitled and len(line) < 90 and TITLE.fullmatch(line.strip()):
+                out.append((at, min(len(text), at + len(line) + 1)))
+            at += len(line) + 1
+    else:
+        out = [m.span() for m in PAGE_IN.finditer(text)] + ([m.span() for m in TITLE.finditer(text)] if entitled else [])
+        out = [(b, min(len(text), e + (text[e : e + 1] == " "))) for b, e in sorted(out) if not b or text[b - 1] == " "]
+        out = [x for i, x in enumerate(out) if not i or x[0] >= out[i - 1][1]]
+    return out
+
+
+def find_across(text: str, finder: Finder) -> list[tuple[int, int, str, str, str]]:
+    """(begin, end, kind, value, what interrupts it) of each detail, those parted by what the page left included."""
+    found = [(b, e, k, text[b:e], "") for b, e, k in finder.find(text)]
+    cuts = interruptions(text)
+    if not cuts:
+        return found
+    kept, places = [], []
+    for b, e in zip([0, *(e for _, e in cuts)], [*(b for b, _ in cuts), len(text)]):
+        kept.append(text[b:e])
+        places += range(b, e)
+    joined = "".join(kept)
+    for b, e, kind in finder.find(joined):
+        begin, end = places[b], places[e - 1] + 1
+        if end - begin > e - b and not any(x[0] < end and begin < x[1] for x in found):
+            found.append((begin, end, kind, joined[b:e], " " + " ".join(text[x:y].strip() for x, y in cuts if begin < x < end)))
+    return sorted(found)
+
+
 def feistel(number: int, size: int, key: bytes, tweak: bytes, rounds: int = 8) -> int:
     """A keyed permutation of 0 .. size - 1 (cycle walking over an even number of bits)."""
     half = max(1, (max(2, size) - 1).bit_length() + 1 >> 1)
@@ -157,8 +193,8 @@ def redact_text(text: str | None, finder: Finder, key: bytes) -> tuple[str | Non
     if not text:
         return text, []
     out, at, kinds = [], 0, []
-    for b, e, kind in finder.find(text):
-        out += [text[at:b], placeholder(text[b:e], kind, key)]
+    for b, e, kind, value, within in find_across(text, finder):
+        out += [text[at:b], placeholder(value, kind, key), within]
         at = e
         kinds.append(kind)
     return "".join(out) + text[at:], kinds
@@ -171,18 +207,28 @@ def redact(df: DataFrame, columns: tuple[str, ...] = ("text", "full_section_text
     columns of the added names are replaced, all others stay.
     """
 
-    @F.pandas_udf("struct<text:string,kinds:array<string>>")
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    made = ", ".join(f"t{i}: string, k{i}: array<string>" for i in range(len(columns)))
+
+    @F.pandas_udf(f"struct<{made}>")
+    def run(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.DataFrame]:  # one column comes as a bare series
         finder = Finder()
-        for texts in batches:
-            done = [redact_text(t, finder, key) for t in texts]
-            yield pd.DataFrame({"text": [d[0] for d in done], "kinds": [d[1] for d in done]})
-
-    for c in columns:
-        df = df.withColumn(f"__{c}", run(F.col(c)))
-    for c in columns:
-        df = df.withColumns({c: F.col(f"__{c}.text"), f"{c}_kinds": F.col(f"__{c}.kinds")}).drop(f"__{c}")
-    return df
+        for series in batches:
+            rows = []
+            for texts in zip(*series) if isinstance(series, tuple) else zip(series):
+                row: list = []
+                for i, t in enumerate(texts):
+                    # a text that ends in one already done, after a line of its own, needs only that line looked at
+                    done = next((j for j in range(i) if t and texts[j] and t.endswith(texts[j]) and (len(t) == len(texts[j]) or t[-len(texts[j]) - 1] == "\n")), None)
+                    if done is None:
+                        row += redact_text(t, finder, key)
+                    else:
+                        head, kinds = redact_text(t[: len(t) - len(texts[done])], finder, key)
+                        row += (head + row[2 * done], kinds + row[2 * done + 1])
+                rows.append(row)
+            yield pd.DataFrame(rows, columns=[x for i in range(len(columns)) for x in (f"t{i}", f"k{i}")])
+
+    df = df.withColumn("__r", run(*map(F.col, columns)))
+    return df.withColumns({x: y for i, c in enumerate(columns) for x, y in ((c, F.col(f"__r.t{i}")), (f"{c}_kinds", F.col(f"__r.k{i}")))}).drop("__r")
 
 
 def details(chunks: DataFrame) -> DataFrame:
