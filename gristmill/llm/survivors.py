@@ -39,47 +39,54 @@ def vendors(keys: DataFrame, key: str = "key") -> DataFrame:
     return counted.select("key").join(found, "key", "left").select("key", F.coalesce("vendor", "key").alias("vendor"))
 
 
-def precedence(long: DataFrame) -> DataFrame:
-    """field, before, after: values of which one follows the other in dated rows. long: grp, field, value, at.
+def held_values(long: DataFrame, *more: Column) -> DataFrame:
+    """grp, field, value, n, dated (rows with a date), first, at (last date), weight of each different value of a group: all that currency needs, summed up before anything else. long: grp, field, value, at, weight."""
+    return long.groupBy("grp", "field", "value").agg(F.count("*").alias("n"), F.count("at").alias("dated"), F.min("at").alias("first"), F.max("at").alias("at"), F.max("weight").alias("weight"), *more)
+
+
+def precedence(held: DataFrame) -> DataFrame:
+    """field, before, after: values of which one follows the other in dated rows. held: as held_values gives it.
 
     Each group and value counts by its first date, so a group of any size gives at most as many transitions as it has
     frequent values.
     """
-    dated = long.where("at is not null and value is not null")
-    per_value = dated.groupBy("field", "value").agg(F.count("*").alias("n"))
-    per_field = dated.groupBy("field").agg(F.count("*").alias("all"))
+    dated = held.where("dated > 0 and value is not null")
+    per_value = dated.groupBy("field", "value").agg(F.sum("dated").alias("n"))
+    per_field = per_value.groupBy("field").agg(F.sum("n").alias("all"))
     frequent = per_value.join(per_field, "field").where(F.col("n") >= F.greatest(F.lit(LEAST_TIMES), F.col("all") * VALUE_SHARE)).select("field", "value")
-    first = dated.join(frequent, ["field", "value"]).groupBy("grp", "field", "value").agg(F.min("at").alias("at"))
-    order = W.partitionBy("grp", "field").orderBy("at", "value")
-    steps = first.withColumn("next", F.lead("value").over(order)).withColumn("later", F.lead("at").over(order)).where("next is not null and later > at")
-    n = steps.groupBy("field", F.col("value").alias("before"), F.col("next").alias("after")).agg(F.count("*").alias("n"))
+    order = W.partitionBy("grp", "field").orderBy("first", "value")
+    first = dated.join(F.broadcast(frequent), ["field", "value"]).select("grp", "field", "value", "first")  # at most 1 / VALUE_SHARE values a field
+    steps = first.withColumn("next", F.lead("value").over(order)).withColumn("later", F.lead("first").over(order)).where("next is not null and later > first")
+    n = cut(steps.groupBy("field", F.col("value").alias("before"), F.col("next").alias("after")).agg(F.count("*").alias("n")))
     back = n.select("field", F.col("before").alias("after"), F.col("after").alias("before"), F.col("n").alias("n_back"))
     both = n.join(back, ["field", "before", "after"], "left").fillna(0, ["n_back"])
     return both.where((F.col("n") >= LEAST_TIMES) & (F.col("n") >= LEAST_SHARE * (F.col("n") + F.col("n_back")))).select("field", "before", "after")
 
 
-def current_values(long: DataFrame) -> DataFrame:
-    """grp, field, current_value, current_by: the most current value of each group and field. long: grp, field, value, at, weight.
+def current_values(held: DataFrame) -> DataFrame:
+    """grp, field, current_value, current_by: the most current value of each group and field. held: as held_values gives it.
 
     current_by is `date` for the value of the latest dated row, `precedence` where no row is dated and a value has no
     successor among the group's values while others have, `weight` for the heaviest, then smallest value otherwise. Null
     values never stand for a group; a group without values has no row.
     """
-    held = long.where("value is not null").groupBy("grp", "field", "value").agg(F.max("at").alias("at"), F.max("weight").alias("weight"))
-    before = cut(precedence(long))
+    held = held.where("value is not null")
+    before = cut(precedence(held))
     after = before.groupBy("field", F.col("before").alias("value")).agg(F.collect_set("after").alias("after"))
     placed_values = before.select("field", F.col("after").alias("value")).distinct()  # at most 1 / VALUE_SHARE values a field, so sets of them are bounded
-    undated = held.where("at is null").select("grp", "field").distinct()
-    values = held.join(F.broadcast(placed_values), ["field", "value"], "left_semi").join(undated, ["grp", "field"], "left_semi").groupBy("grp", "field").agg(F.collect_set("value").alias("values"))
-    placed = held.join(values, ["grp", "field"], "left").join(F.broadcast(after), ["field", "value"], "left")  # at most 1 / VALUE_SHARE values a field
-    last = ~F.coalesce(F.arrays_overlap("after", "values"), F.lit(False))
-    placed = placed.withColumn("last", last).withColumn("known", F.col("after").isNotNull())
-    best = F.struct(F.col("at").isNotNull(), "at", "last", "weight")
-    out = placed.groupBy("grp", "field").agg(
-        F.max_by(F.struct("value", "at"), F.struct(best, F.col("value"))).alias("v"), F.bool_or("last").alias("some_last"), F.bool_and("last").alias("all_last")
+    # one aggregation for each group: its latest dated value, and for undated groups its candidates with their successors
+    marked = held.join(F.broadcast(after), ["field", "value"], "left").join(F.broadcast(placed_values.withColumn("placed", F.lit(True))), ["field", "value"], "left")
+    open_ = F.col("after").isNull()
+    heaviest = F.struct("weight", F.col("value"))
+    groups = marked.groupBy("grp", "field").agg(
+        F.max_by("value", F.when(F.col("at").isNotNull(), F.struct("at", "value"))).alias("by_date"), F.max("at").alias("at"), F.collect_set(F.when(F.col("placed"), F.col("value"))).alias("placed"),
+        F.collect_set(F.when(~open_, F.struct("value", "weight", "after"))).alias("earlier"), F.max_by("value", F.when(open_, heaviest)).alias("open_value"), F.max(F.when(open_, F.col("weight"))).alias("open_weight"),
     )
-    by = F.when(F.col("v.at").isNotNull(), "date").when(F.col("some_last") & ~F.col("all_last"), "precedence").otherwise("weight")
-    return out.select("grp", "field", F.col("v.value").alias("current_value"), by.alias("current_by"))
+    last = F.filter("earlier", lambda v: ~F.arrays_overlap(v["after"], F.col("placed")))
+    rest = F.concat(F.transform(last, lambda v: F.struct(v["weight"].alias("weight"), v["value"].alias("value"))), F.when(F.col("open_value").isNotNull(), F.array(F.struct(F.col("open_weight").alias("weight"), F.col("open_value").alias("value")))).otherwise(F.array().cast("array<struct<weight:double,value:string>>")))
+    followed = F.size("earlier") > F.size(last)
+    by = F.when(F.col("at").isNotNull(), "date").when(followed, "precedence").otherwise("weight")
+    return groups.select("grp", "field", F.coalesce("by_date", F.array_max(rest)["value"]).alias("current_value"), by.alias("current_by"))
 
 
 def usable(field: Column, value: Column) -> Column:
@@ -98,11 +105,14 @@ def field_survivors(fields: DataFrame) -> DataFrame:
     rows = fields.select("id", "field_name", "value", "confidence", "extracted_at", plain_key(F.col("entity_key")).alias("key"))
     rows = rows.join(vendors(rows.select("key")), "key").where("field_name is not null")
     ok = usable(F.col("field_name"), F.col("value"))
-    order = F.struct((~ok).cast("int"), -F.coalesce(F.col("confidence").cast("double"), F.lit(-1.0)), -F.coalesce(F.unix_micros(F.col("extracted_at").cast("timestamp")), F.lit(-(1 << 62))), "id")
-    best = rows.groupBy("vendor", "field_name").agg(F.count("*").alias("n_rows"), F.min_by(F.struct("id", "value"), order).alias("b")).where("n_rows >= 2")
-    long = rows.select(F.col("vendor").alias("grp"), F.col("field_name").alias("field"), F.when(ok, spelled(F.col("value"))).alias("value"), F.col("extracted_at").cast("timestamp").alias("at"), F.col("confidence").cast("double").alias("weight"))
-    now = current_values(long).select(F.col("grp").alias("vendor"), F.col("field").alias("field_name"), "current_value", "current_by")
-    return best.join(now, ["vendor", "field_name"], "left").select("vendor", "field_name", "n_rows", F.col("b.id").alias("row_key"), F.col("b.value").alias("value"), "current_value", "current_by")
+    order = F.struct((~ok).cast("int"), -F.coalesce(F.col("confidence").cast("double"), F.lit(-1.0)), -F.coalesce(F.unix_micros(F.col("extracted_at").cast("timestamp")), F.lit(-(1 << 62))), "id", F.col("value").alias("raw"))
+    long = rows.select(
+        F.struct("vendor").alias("grp"), F.col("field_name").alias("field"), F.when(ok, spelled(F.col("value"))).alias("value"), F.col("extracted_at").cast("timestamp").alias("at"), F.col("confidence").cast("double").alias("weight"), order.alias("order")
+    )
+    held = cut(held_values(long, F.min("order").alias("best")))
+    best = held.groupBy("grp", "field").agg(F.sum("n").alias("n_rows"), F.min("best").alias("b")).where("n_rows >= 2")
+    found = best.join(current_values(held), ["grp", "field"], "left")
+    return found.select(F.col("grp.vendor").alias("vendor"), F.col("field").alias("field_name"), "n_rows", F.col("b.id").alias("row_key"), F.col("b.raw").alias("value"), "current_value", "current_by")
 
 
 def record_survivors(records: DataFrame) -> DataFrame:
@@ -114,11 +124,11 @@ def record_survivors(records: DataFrame) -> DataFrame:
     rows = records.where("file_id is not null and entity_key is not null").select("file_id", "entity_key", "record_id", date_of(F.col("updated_at")).alias("day"), *FIELDS)
     n = sum((has(F.col(c)).cast("int") for c, has in FIELDS.items()), F.lit(0))
     order = F.struct(-n, -F.coalesce(F.unix_date("day"), F.lit(-(1 << 30))), "record_id")
-    best = rows.groupBy("file_id", "entity_key").agg(F.count("*").alias("n_rows"), F.min_by("record_id", order).alias("record_id")).where("n_rows >= 2")
+    best = cut(rows.groupBy("file_id", "entity_key").agg(F.count("*").alias("n_rows"), F.min_by("record_id", order).alias("record_id")).where("n_rows >= 2"))
     cells = F.explode(F.array(*(F.struct(F.lit(c).alias("field"), F.when(has(F.col(c)), spelled(F.col(c))).alias("value")) for c, has in FIELDS.items())))
     long = rows.join(best.select("file_id", "entity_key"), ["file_id", "entity_key"], "left_semi")
     long = long.select(F.struct("file_id", "entity_key").alias("grp"), "day", cells.alias("c")).select("grp", F.col("c.field").alias("field"), F.col("c.value").alias("value"), F.col("day").cast("timestamp").alias("at"), F.lit(1.0).alias("weight"))
-    now = current_values(long).groupBy("grp").agg(F.map_from_entries(F.collect_list(F.struct("field", F.struct("current_value", "current_by")))).alias("current"))
+    now = current_values(cut(held_values(long))).groupBy("grp").agg(F.map_from_entries(F.collect_list(F.struct("field", F.struct("current_value", "current_by")))).alias("current"))
     now = now.select("grp.file_id", "grp.entity_key", "current")
     return best.join(now, ["file_id", "entity_key"], "left").select("file_id", "entity_key", "n_rows", F.col("record_id").cast("string").alias("row_key"), "current")
 
