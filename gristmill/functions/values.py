@@ -11,9 +11,14 @@ NO_VALUE = ("", "-", "--", "?", "n/a", "na", "#n/a", "nan", "null", "none", "nil
 NO_NUMBER = (-1, 0, -999, -9999, 999999, 9999999)
 
 
+#: Blanks that may stand around a value.
+BLANKS = " \t\n\r\f\v\u00a0\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u200b\u202f\u205f\u3000\ufeff"
+
+
 def spelled(c: Column) -> Column:
-    """The cell in lower case without blanks at its ends or doubled inside, of any Unicode kind."""
-    return F.regexp_replace(F.regexp_replace(F.lower(c.cast("string")), r"(?U)^[\s\p{Z}]+|[\s\p{Z}]+$", ""), r"(?U)[\s\p{Z}]+", " ")
+    """The cell in lower case without blanks of any kind at its ends or doubled inside."""
+    t = F.btrim(F.lower(c.cast("string")), F.lit(BLANKS))
+    return F.when(F.contains(t, F.lit("  ")), F.regexp_replace(t, r"\s{2,}", " ")).otherwise(t)
 
 
 def has_text(c: Column) -> Column:
@@ -32,7 +37,21 @@ def plain_key(c: Column) -> Column:
     return F.upper(F.regexp_replace(c, r"[^\p{L}\p{N}]", ""))
 
 
+#: First letters of English months.
+MONTHS = ("jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec")
+
+
 def date_of(c: Column) -> Column:
-    """The date in a text cell, day before month unless the year comes first; null if there is none."""
-    t = F.regexp_replace(F.trim(c), r"[T ]\d{2}:\d{2}(?::\d{2})?.*$", "")
-    return F.coalesce(*(F.try_to_timestamp(t, F.lit(f)).cast("date") for f in ("yyyy-MM-dd", "yyyy/MM/dd", "dd.MM.yyyy", "d MMM yyyy", "dd/MM/yyyy", "d.M.yyyy", "dd-MM-yyyy", "d MMMM yyyy")))
+    """The date in a text cell, day before month unless the year comes first; a time after it is left out; null if there is none.
+
+    Cells are put into ISO order by their form and cast; parsing by formats would raise inside for each that fails.
+    """
+    t = F.regexp_replace(F.trim(c), r"(?<=\d)[T ]\d{2}:\d{2}.*$", "")
+    month = F.create_map(*(x for i, m in enumerate(MONTHS, 1) for x in (F.lit(m), F.lit(f"{i:02d}"))))
+    named = F.concat(F.regexp_extract(t, r"(\d{4})$", 1), F.lit("-"), F.try_element_at(month, F.lower(F.regexp_extract(t, r" ([A-Za-z]{3})", 1))), F.lit("-"), F.regexp_extract(t, r"^(\d{1,2})", 1))
+    iso = (
+        F.when(t.rlike(r"^\d{4}-\d{1,2}-\d{1,2}$"), t).when(t.rlike(r"^\d{4}[/.]\d{1,2}[/.]\d{1,2}$"), F.regexp_replace(t, r"[/.]", "-"))
+        .when(t.rlike(r"^\d{1,2}[./-]\d{1,2}[./-]\d{4}$"), F.regexp_replace(t, r"^(\d{1,2})[./-](\d{1,2})[./-](\d{4})$", "$3-$2-$1"))
+        .when(t.rlike(r"^\d{1,2} [A-Za-z]{3,9} \d{4}$"), named)
+    )
+    return iso.try_cast("date")
