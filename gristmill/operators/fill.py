@@ -110,14 +110,11 @@ def fills(df: DataFrame, fields: Fields, k: int = 12) -> DataFrame:
         *(cell(fields, c).cast("string").alias(c) for c in fields.filled),
     )
     points = cut(profiles(df, fields))
-    clusters = k_prototypes(points, (*fields.numbers, *fields.features), fields.categories, k).select(F.concat_ws("|", "quarter", "key").alias("kq"), "cluster")
-    clusters = cut(clusters)
-    rows = rows.withColumn("kq", F.when(F.col("key").isNotNull(), F.concat_ws("|", "quarter", "key")))
-    rows = cut(split_join(rows, clusters, "kq").drop("kq"))
-    cells = rows.select("row", "key", "quarter", "cluster", F.explode(F.array(*(F.struct(F.lit(c).alias("field_name"), F.col(c).alias("value")) for c in fields.filled))).alias("c")).select("row", "key", "quarter", "cluster", "c.*")
-    present = cells.where("value is not null")
-    # one count for each value of a vendor, a cluster or a quarter, summed up before anything is compared
-    counted = cut(present.groupBy("key", "cluster", "quarter", "field_name", "value").agg(F.count("*").alias("n")))
+    clusters = cut(k_prototypes(points, (*fields.numbers, *fields.features), fields.categories, k).select(F.concat_ws("|", "quarter", "key").alias("kq"), "cluster"))
+    kq = F.when(F.col("key").isNotNull(), F.concat_ws("|", "quarter", "key"))
+    cells = rows.select("key", "quarter", F.explode(F.array(*(F.struct(F.lit(c).alias("field_name"), F.col(c).alias("value")) for c in fields.filled))).alias("c")).select("key", "quarter", "c.*")
+    # one count for each value of a vendor and quarter, summed up before anything is compared
+    counted = cut(cells.where("value is not null").groupBy("key", "quarter", "field_name", "value").agg(F.count("*").alias("n")))
     numeric = F.col("field_name").isin(*fields.numbers) if fields.numbers else F.lit(False)
     identifier = F.col("field_name").isin(*fields.identifiers) if fields.identifiers else F.lit(False)
 
@@ -131,18 +128,22 @@ def fills(df: DataFrame, fields: Fields, k: int = 12) -> DataFrame:
     def wide(by: list[str], name: str, source: DataFrame) -> DataFrame:
         return donors(by, source).groupBy(*by).agg(F.map_from_entries(F.collect_list(F.struct("field_name", "value"))).alias(name))
 
-    shared = counted.where(~identifier)
-    missing = rows.select("row", "key", "quarter", "cluster", F.array(*(F.when(F.col(c).isNull(), F.lit(c)) for c in fields.filled)).alias("fields")).withColumn("fields", F.array_compact("fields")).where(F.size("fields") > 0)
+    missing = rows.select("row", "key", "quarter", F.array_compact(F.array(*(F.when(F.col(c).isNull(), F.lit(c)) for c in fields.filled))).alias("fields")).where(F.size("fields") > 0)
     found = split_join(missing, wide(["key"], "by_vendor", counted.where("key is not null")), "key")
+    found = cut(found.select("row", kq.alias("kq"), "quarter", F.explode("fields").alias("field_name"), "by_vendor").withColumn("value", F.try_element_at("by_vendor", F.col("field_name"))).drop("by_vendor"))
+    done = found.where("value is not null").select("row", "field_name", F.col("value").alias("filled_value"), F.lit("vendor").alias("method"))
+    shared = counted.where(~identifier).withColumn("kq", kq).join(clusters, "kq", "left").groupBy("cluster", "quarter", "field_name", "value").agg(F.sum("n").alias("n"))
+    shared = cut(shared)
+    rest = split_join(found.where("value is null").drop("value"), clusters, "kq")
     # clusters are at most k, quarters as many as the years covered have: both tables are bounded by k times the quarters
-    found = found.join(F.broadcast(wide(["cluster", "quarter"], "by_quarter", shared)), ["cluster", "quarter"], "left")
-    found = found.join(F.broadcast(wide(["cluster"], "by_cluster", shared)), "cluster", "left")
+    rest = rest.join(F.broadcast(wide(["cluster", "quarter"], "by_quarter", shared.where("cluster is not null"))), ["cluster", "quarter"], "left")
+    rest = rest.join(F.broadcast(wide(["cluster"], "by_cluster", shared.where("cluster is not null"))), "cluster", "left")
     everything = donors([], shared).agg(F.map_from_entries(F.collect_list(F.struct("field_name", "value"))).alias("by_all"))
-    found = found.join(F.broadcast(everything), F.lit(True), "left")  # one row
-    cells = found.select("row", F.explode("fields").alias("field_name"), "by_vendor", "by_quarter", "by_cluster", "by_all")
-    ways = [("vendor", "by_vendor"), ("cluster_quarter", "by_quarter"), ("cluster", "by_cluster"), ("all", "by_all")]
+    rest = rest.join(F.broadcast(everything), F.lit(True), "left")  # one row
+    ways = [("cluster_quarter", "by_quarter"), ("cluster", "by_cluster"), ("all", "by_all")]
     best = F.coalesce(*(F.when(F.try_element_at(m, F.col("field_name")).isNotNull(), F.struct(F.lit(name).alias("method"), F.try_element_at(m, F.col("field_name")).alias("value"))) for name, m in ways))
-    return cells.withColumn("b", best).select("row", "field_name", F.col("b.value").alias("filled_value"), F.coalesce("b.method", F.lit("none")).alias("method"))
+    rest = rest.withColumn("b", best).select("row", "field_name", F.col("b.value").alias("filled_value"), F.coalesce("b.method", F.lit("none")).alias("method"))
+    return done.unionByName(rest)
 
 
 def fill_missing(df: DataFrame, fields: Fields, k: int = 12) -> DataFrame:
