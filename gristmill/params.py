@@ -1,4 +1,4 @@
-"""Constants of the extraction funnel; every operator takes them as parameters."""
+"""Constants of the extraction engine; every operator takes them as parameters."""
 
 from __future__ import annotations
 

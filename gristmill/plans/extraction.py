@@ -1,4 +1,4 @@
-"""Registered queries of the funnel's operators over the project's tables, and their SQL. Names begin with the operator's id."""
+"""Registered queries of the engine's operators over the project's tables, and their SQL. Names begin with the operator's id."""
 
 from __future__ import annotations
 
@@ -38,7 +38,7 @@ _TOKENS = ", ".join(f"'{t}'" for t in params.NULL_TOKENS)
 
 
 def _null(t: str, c: str) -> str:
-    """A column as the funnel reads it."""
+    """A column as the engine reads it."""
     if c == "region_code" and t.endswith("1"):
         return "CASE WHEN NOT isnan(region_code) THEN region_code END"
     return c if c in NUMERIC else f"CASE WHEN {c} NOT IN ({_TOKENS}) THEN {c} END"

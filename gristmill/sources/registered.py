@@ -1,4 +1,4 @@
-"""The project's tables as the funnel reads them: null tokens are null, NaN too, and rows have a stable number."""
+"""The project's tables as the engine reads them: null tokens are null, NaN too, and rows have a stable number."""
 
 from __future__ import annotations
 

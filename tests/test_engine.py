@@ -1,4 +1,4 @@
-"""Operators of the funnel, against values worked out by hand or by brute force."""
+"""Operators of the engine, against values worked out by hand or by brute force."""
 
 import itertools
 import json
