@@ -12,6 +12,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from gristmill.functions.joins import split_join
 from gristmill.functions.values import date_of, has_number, has_text, spelled
@@ -101,7 +102,7 @@ def fills(df: DataFrame, fields: Fields, k: int = 12) -> DataFrame:
     """row (as long), field_name, filled_value (string), method of each missing cell.
 
     method is one of METHODS: `none` where no donor exists. A cell is missing if it is null, NaN, or only stands for no
-    value. Numbers get the median, categories and identifiers the most frequent value, ties the smallest. Vendors go by
+    value. Numbers get the lower median of the records, categories and identifiers the most frequent value, ties the smallest. Vendors go by
     their key exactly as written; rows without a key take part in no vendor but in the fallback over all records.
     """
     rows = df.select(
@@ -119,11 +120,15 @@ def fills(df: DataFrame, fields: Fields, k: int = 12) -> DataFrame:
     identifier = F.col("field_name").isin(*fields.identifiers) if fields.identifiers else F.lit(False)
 
     def donors(by: list[str], source: DataFrame) -> DataFrame:
-        """Mode, or median of the different values, of each group. Equal values are counted first, so a group has as many rows as values."""
+        """Mode, or lower median of the records, of each group. Equal values are counted first, so a group has as many rows as values, each with its records."""
         per_value = source.groupBy(*by, "field_name", "value").agg(F.sum("n").alias("n"))
-        median = F.percentile_approx(F.expr("try_cast(value AS double)"), F.lit(0.5), F.lit(1000))
-        mode = F.max_by("value", F.struct("n", F.expr("-xxhash64(value)")))
-        return per_value.groupBy(*by, "field_name").agg(F.when(F.first(numeric), median.cast("string")).otherwise(mode).alias("value"))
+        mode = per_value.where(~numeric).groupBy(*by, "field_name").agg(F.max_by("value", F.struct("n", F.expr("-xxhash64(value)"))).alias("value"))
+        if not fields.numbers:
+            return mode
+        group = W.partitionBy(*by, "field_name")
+        number = per_value.where(numeric).withColumn("number", F.expr("try_cast(value AS double)"))
+        number = number.withColumn("upto", F.sum("n").over(group.orderBy("number").rowsBetween(W.unboundedPreceding, W.currentRow))).withColumn("all", F.sum("n").over(group))
+        return mode.unionByName(number.where("2 * upto >= all").groupBy(*by, "field_name").agg(F.min("number").cast("string").alias("value")))
 
     def wide(by: list[str], name: str, source: DataFrame) -> DataFrame:
         return donors(by, source).groupBy(*by).agg(F.map_from_entries(F.collect_list(F.struct("field_name", "value"))).alias(name))

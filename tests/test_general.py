@@ -42,6 +42,15 @@ def test_fill(spark):
     assert ("finance_extract", 2, "registration_number") in found and ("procurement_export_batch1", 4, "employee_count") not in found
 
 
+def test_fill_takes_the_median_of_records(spark):
+    held = [10] * 7 + [900, 950]  # of the different values, the median is 900
+    data = [(i, "f", "A", "s", v, 1.0, "clear", None, "2026-01-01", "c", "r") for i, v in enumerate(held)]
+    data += [(20, "f", "A", "s", None, 1.0, "clear", None, "2026-01-01", "c", "r"), (21, "f", "N", "s", None, None, None, None, "2026-01-01", "c", "r")]
+    data += [(30 + i, "f", "E", "s", 10, v, "clear", None, "2026-01-01", "c", "r") for i, v in enumerate((3.0, 3.0, 7.0, 7.0, None))]  # codes are not averaged
+    got = {(r.row, r.field_name): (r.filled_value, r.method) for r in fill.fills(spark.createDataFrame(data, B1), fill.PROCUREMENT, k=1).collect()}
+    assert got[20, "employee_count"] == ("10.0", "vendor") and got[21, "employee_count"] == ("10.0", "cluster_quarter") and got[34, "region_code"] == ("3.0", "vendor")
+
+
 def feed(spark):
     lines = [
         ("f1", 0, "entity_key,updated_at,n,flag,due"), ("f1", 1, "VENAAAAA1,2026-01-01,1,clear,14"), ("f1", 2, "VENAAAAA2,2026-01-02,2,flagged,30"), ("f1", 3, "VENAAAAA3,2026-01-02,NULL,clear,60"),
