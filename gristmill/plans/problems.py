@@ -16,6 +16,10 @@ def p1_filled(spark: SparkSession, d: str) -> DataFrame:
     return fill.fill_missing(table(spark, d, "procurement_export_batch1"), fill.PROCUREMENT)
 
 
+def p1_filled_finance(spark: SparkSession, d: str) -> DataFrame:
+    return fill.fill_missing(table(spark, d, "finance_extract"), fill.FINANCE)
+
+
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
     return drift.changes(table(spark, d, "raw_line"), table(spark, d, "file_registry")).select("file_id", "field_name", "change_kind")
 
@@ -32,7 +36,7 @@ def p7_profile(spark: SparkSession, d: str) -> DataFrame:
     return footers.load_profiles(spark, f"{d}/procurement_export_batch1.parquet").select("file_id", "column_name", "rows", "null_rate", "distinct_count", "inferred_type")
 
 
-QUERIES = {q.__name__: q for q in (p1_found, p1_filled, p2_found, p2_table, p7_found, p7_profile)}
+QUERIES = {q.__name__: q for q in (p1_found, p1_filled, p1_filled_finance, p2_found, p2_table, p7_found, p7_profile)}
 
 _NO_VALUE = "('','-','--','?','n/a','na','#n/a','nan','null','none','nil','unknown','not provided','not available','not known','missing','pending','tbd','tbc','undefined','reg-xxxxxx')"
 _NO_NUMBER = "(-1,0,-999,-9999,999999,9999999)"

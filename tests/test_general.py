@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from gristmill.functions.joins import hot_keys, split_join
 from gristmill.functions.values import date_of
 from gristmill.operators import drift, fill, footers
+from gristmill.plans import problems
 
 B1 = "record_id bigint, file_id string, entity_key string, source_system string, employee_count bigint, region_code double, compliance_flag string, registration_number string, updated_at string, cluster string, row string"
 
@@ -51,6 +52,13 @@ def test_fill_takes_the_median_of_records(spark):
     assert got[20, "employee_count"] == ("10.0", "vendor") and got[21, "employee_count"] == ("10.0", "cluster_quarter") and got[34, "region_code"] == ("3.0", "vendor")
 
 
+def test_finance_comes_out_filled(spark, tmp_path):
+    data = [(1, "f", "A", "s", 1, "REG-1", "2026-01-01"), (2, "f", "A", "s", 1, None, "2026-01-02"), (3, "f", "B", "s", 2, "n/a", None), (4, "f", None, "s", 2, "REG-9", None)]
+    spark.createDataFrame(data, "record_id bigint, file_id string, entity_key string, source_system string, region_code bigint, registration_number string, updated_at string").write.parquet(str(tmp_path / "finance_extract.parquet"))
+    got = {r.record_id: (r.registration_number, r.registration_number_method) for r in problems.QUERIES["p1_filled_finance"](spark, str(tmp_path)).collect()}
+    assert got == {1: ("REG-1", None), 2: ("REG-1", "vendor"), 3: (None, "none"), 4: ("REG-9", None)}
+
+
 def feed(spark):
     lines = [
         ("f1", 0, "entity_key,updated_at,n,flag,due"), ("f1", 1, "VENAAAAA1,2026-01-01,1,clear,14"), ("f1", 2, "VENAAAAA2,2026-01-02,2,flagged,30"), ("f1", 3, "VENAAAAA3,2026-01-02,NULL,clear,60"),
