@@ -42,7 +42,8 @@ def p6_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p6_repaired(spark: SparkSession, d: str) -> DataFrame:
-    return scans.repair(table(spark, d, "section_chunk")).select("id", "repaired_text", "traces")
+    done = scans.repair(table(spark, d, "section_chunk"), whole="full_section_text", page="page_number")
+    return done.select("id", "repaired_text", "traces", "repaired_full_section_text", "full_section_text_traces")
 
 
 def p8_ids(spark: SparkSession, d: str) -> DataFrame:

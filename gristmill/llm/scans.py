@@ -160,8 +160,8 @@ def joints(text: str) -> set[str]:
     return {f"{a.group()}-{b.group()}".lower() for a, b in ends if a and b}
 
 
-def find_traces(text: str, right: dict[str, str], hyphened: dict[str, str | None], running: set[str]) -> list[tuple[int, int, str, str]]:
-    """(begin, end, kind, what to put there) of each trace, in order of place and without overlaps."""
+def find_traces(text: str, right: dict[str, str], hyphened: dict[str, str | None], running: set[str], page: int | None = None) -> list[tuple[int, int, str, str]]:
+    """(begin, end, kind, what to put there) of each trace, in order of place and without overlaps. Where the chunk's page is known, another number is no page number."""
     found: list[tuple[int, int, str, str]] = []
     taken = bytearray(len(text))
 
@@ -170,6 +170,9 @@ def find_traces(text: str, right: dict[str, str], hyphened: dict[str, str | None
             taken[b:e] = b"\1" * (e - b)
             found.append((b, e, kind, new))
 
+    def of_page(number: str) -> bool:
+        return page is None or int(re.search(r"\d+", number).group()) == page
+
     low = text.lower()
     entitled = any(h in low for h in TITLE_HINTS)
     if "\n" in text:
@@ -177,7 +180,7 @@ def find_traces(text: str, right: dict[str, str], hyphened: dict[str, str | None
         for line in text.split("\n"):
             if len(line) < 90 and (running and line.strip().lower() in running or entitled and TITLE.fullmatch(line.strip())):
                 take(at, at + len(line), "header", "")
-            elif len(line) < 24 and PAGE_LINE.match(line):
+            elif len(line) < 24 and PAGE_LINE.match(line) and of_page(line):
                 take(at, at + len(line), "page_number", "")
             at += len(line) + 1
     for title in running:
@@ -190,7 +193,7 @@ def find_traces(text: str, right: dict[str, str], hyphened: dict[str, str | None
             if not re.match(r"(?:[\w-]+ ){1,5}[/|]|confidential", m.group(), re.I) or "\n" not in text:
                 take(*m.span(), "header", "")
     for m in PAGE_IN.finditer(text):
-        if (not m.start() or text[m.start() - 1].isspace()) and text[m.end() : m.end() + 1].isspace():
+        if (not m.start() or text[m.start() - 1].isspace()) and text[m.end() : m.end() + 1].isspace() and of_page(m.group()):
             take(*m.span(), "page_number", "")
     for m in PARTED.finditer(text):
         head, tail = BEFORE.search(text, max(0, m.start() - 40), m.start()), AFTER.match(text, m.end())
@@ -236,23 +239,39 @@ def learn(chunks: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     return cut(corrections(pairs)), cut(compounds(pairs)), cut(titles(chunks))
 
 
-def repair(chunks: DataFrame, text: str = "text", learned: tuple[DataFrame, DataFrame, DataFrame] | None = None) -> DataFrame:
-    """`chunks` with repaired_text, and traces: an array of {kind, was, now} in order.
+def repair(chunks: DataFrame, text: str = "text", learned: tuple[DataFrame, DataFrame, DataFrame] | None = None, whole: str | None = None, page: str | None = None) -> DataFrame:
+    """`chunks` with repaired_text, and traces: an array of {kind, was, now} in order; with `whole`, a column that may hold
+    the text under its heading, also repaired_<whole> and <whole>_traces. `page` is the column of the chunk's page number.
 
     What was learned goes to the tasks as a dictionary while it has at most HELD entries; beyond that each file's titles
     and each chunk's corrections come to it by joins. Null texts stay null without traces, empty ones empty. Equal texts of
-    a file get equal results. Columns of the names added are replaced.
+    a file and page get equal results. Columns of the names added are replaced.
     """
     right, hyphened, running = learned or learn(chunks)
-    base = chunks.drop("repaired_text", "traces")
-    made = "struct<repaired_text:string,traces:array<struct<kind:string,was:string,now:string>>>"
+    made = {"repaired_text": "string", "traces": "array<struct<kind:string,was:string,now:string>>"}
+    if whole:
+        made |= {f"repaired_{whole}": "string", f"{whole}_traces": made["traces"]}
+    base, struct = chunks.drop(*made), f"struct<{','.join(f'{n}:{t}' for n, t in made.items())}>"
+    texts_of = (F.col(text), F.col(whole) if whole else F.lit(None).cast("string"), F.col(page).cast("string") if page else F.lit(None).cast("string"))
 
-    def mend(t: str | None, r: dict, h: dict, titles_here: set) -> tuple:
-        if not t:
-            return t, []
-        found = find_traces(t, r, h, titles_here)
+    def result(t: str, found: list[tuple[int, int, str, str]]) -> tuple:
         return repaired(t, found) if found else t, [{"kind": k, "was": t[b:e], "now": new} for b, e, k, new in found]
 
+    def mend(t: str | None, w: str | None, p: str | None, *known) -> tuple:
+        at = int(p) if p else None
+        found = find_traces(t, *known, at) if t else []
+        out = result(t, found) if t else (t, [])
+        if not whole:
+            return out
+        if not w or w == t:
+            return *out, *((w, []) if not w else out)
+        head = w[: len(w) - len(t)] if t and w.endswith(t) else ""
+        # a heading on lines of its own: what was found in the text stands as far behind it
+        if "\n" in (t or "") and head.endswith("\n") and head.rstrip()[-1:] not in "-‐¬\xad":
+            both = find_traces(head, *known, at) + [(b + len(head), e + len(head), k, new) for b, e, k, new in found]
+            return *out, *result(w, both)
+        return *out, *result(w, find_traces(w, *known, at))
+
     if right.count() + hyphened.count() + running.count() <= HELD:
         by_file = defaultdict(set)
         for row in running.toLocalIterator():
@@ -261,39 +280,40 @@ def repair(chunks: DataFrame, text: str = "text", learned: tuple[DataFrame, Data
             ({x.word: x.right for x in right.toLocalIterator()}, {x.word: x.joined for x in hyphened.toLocalIterator()}, dict(by_file))
         )
 
-        @F.pandas_udf(made)
-        def run(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+        @F.pandas_udf(struct)
+        def run(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.DataFrame]:
             r, h, by_file = held.value
-            for files, texts in batches:
-                done = [mend(t, r, h, by_file.get(f, set())) for f, t in zip(files, texts)]
-                yield pd.DataFrame(done, columns=["repaired_text", "traces"])
+            for files, *columns in batches:
+                done = [mend(*row, r, h, by_file.get(f, set())) for f, *row in zip(files, *columns)]
+                yield pd.DataFrame(done, columns=list(made))
 
-        return base.withColumn("__m", run(F.col("file_id"), F.col(text))).select("*", "__m.*").drop("__m")
+        return base.withColumn("__m", run(F.col("file_id"), *texts_of)).select("*", "__m.*").drop("__m")
 
-    @F.pandas_udf(made)
+    @F.pandas_udf(struct)
     def run_joined(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.DataFrame]:
-        for texts, rights, hyphens, here in batches:
+        for *columns, rights, hyphens, here in batches:
             done = [
-                mend(t, {} if r is None else {x["word"]: x["right"] for x in r}, {} if h is None else {x["word"]: x["joined"] for x in h}, set() if ts is None else set(ts))
-                for t, r, h, ts in zip(texts, rights, hyphens, here)
+                mend(*row, {} if r is None else {x["word"]: x["right"] for x in r}, {} if h is None else {x["word"]: x["joined"] for x in h}, set() if ts is None else set(ts))
+                for *row, r, h, ts in zip(*columns, rights, hyphens, here)
             ]
-            yield pd.DataFrame(done, columns=["repaired_text", "traces"])
+            yield pd.DataFrame(done, columns=list(made))
 
     @F.pandas_udf("array<string>")
     def distinct_words(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in batches:
             yield pd.Series([sorted({p for w in WORD.findall((t or "").lower()) for p in (w, w.strip(EDGES), *PARTS.findall(w))} | joints(t or "")) for t in texts], dtype=object)
 
-    base = base.withColumn("__row", F.concat_ws("/", F.coalesce(F.col("id"), F.lit("")), F.xxhash64(text).cast("string")))
-    words = base.select("__row", F.explode(distinct_words(F.col(text))).alias("word")).distinct()
+    used = [text, whole] if whole else [text]
+    base = base.withColumn("__row", F.concat_ws("/", F.coalesce(F.col("id"), F.lit("")), F.xxhash64(*used).cast("string")))
+    words = base.select("__row", F.explode(F.array(*used)).alias("t")).distinct().select("__row", F.explode(distinct_words(F.col("t"))).alias("word")).distinct()
     rights = words.join(right.select("word", "right"), "word").groupBy("__row").agg(F.collect_list(F.struct("word", "right")).alias("__r"))
     hyphens = words.join(hyphened, "word").groupBy("__row").agg(F.collect_list(F.struct("word", "joined")).alias("__h"))
     here = running.groupBy("file_id").agg(F.collect_list("title").alias("__t"))
     joined = base.join(rights, "__row", "left").join(hyphens, "__row", "left").join(here, "file_id", "left")
-    return joined.withColumn("__m", run_joined(F.col(text), F.col("__r"), F.col("__h"), F.col("__t"))).select(*[c for c in base.columns if c != "__row"], "__m.*")
+    return joined.withColumn("__m", run_joined(*texts_of, F.col("__r"), F.col("__h"), F.col("__t"))).select(*[c for c in base.columns if c != "__row"], "__m.*")
 
 
 def traces(chunks: DataFrame) -> DataFrame:
     """id, kind: each kind of trace that the text of the chunk has, once."""
-    done = repair(chunks.select("id", "file_id", "text"))
+    done = repair(chunks.select("id", "file_id", "text", "page_number"), page="page_number")
     return done.select("id", F.explode(F.array_distinct(F.transform("traces", lambda t: t["kind"]))).alias("kind")).distinct()

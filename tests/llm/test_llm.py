@@ -122,6 +122,29 @@ def test_scans_are_repaired(spark, monkeypatch):
     assert scans.traces(df.where("false")).count() == 0
 
 
+def test_full_sections_are_repaired(spark, monkeypatch, tmp_path):
+    from gristmill.llm import queries
+
+    df = scan_corpus(spark)
+    more = [
+        ("a", None, None), ("b", "Contr-\nact\n\n", 2), ("c", "", 3), ("e", "", 3), ("f", "No. ", 4),
+    ]
+    body = {"b": "further notice between\nTitle One - Draft\nthe parties\nPage 2 of 9\nreviewed in writ‐\nten c0ntract", "e": "the order\n7\nof the council", "f": "the parties\n4\nof the coun-\ncil"}
+    mine = spark.createDataFrame([(i, "scan", None, body.get(i), None if head is None else head + body.get(i, ""), p) for i, head, p in more], CHUNK)
+    df.where("file_id <> 'scan'").unionByName(mine).unionByName(df.where("id = 'a'").withColumn("id", F.lit("z"))).write.parquet(str(tmp_path / "section_chunk.parquet"))
+    got = []
+    for held in (scans.HELD, 0):
+        monkeypatch.setattr(scans, "HELD", held)
+        got.append({r.id: r for r in queries.QUERIES["p6_repaired"](spark, str(tmp_path)).collect()})
+    assert got[0] == got[1] and len(got[0]) == 206
+    got = got[0]
+    assert got["b"].repaired_full_section_text.startswith("Contract") and got["b"].repaired_full_section_text.endswith("reviewed in written contract")
+    assert [t.kind for t in got["b"].full_section_text_traces] == ["hyphenation"] + [t.kind for t in got["b"].traces] and "page_number" in {t.kind for t in got["b"].traces}
+    assert (got["a"].repaired_full_section_text, got["a"].full_section_text_traces, got["c"].repaired_full_section_text) == (None, [], "")
+    assert got["e"].traces == got["e"].full_section_text_traces == []  # 7 isn't the page's number
+    assert got["f"].repaired_full_section_text == "No. the parties of the council" and got["f"].repaired_text == "the parties of the council"
+
+
 # ---- 9: leaks
 def test_tiles_equal_brute_force():
     def brute(a, b, least):
