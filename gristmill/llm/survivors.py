@@ -14,8 +14,6 @@ from pyspark.sql import Window as W
 from gristmill.functions.values import NO_VALUE, date_of, has_number, has_text, plain_key, spelled
 from gristmill.sources.tables import cut
 
-#: A value takes part in precedence if it has at least this share of its field's rows, so a field has at most 1 / share of them.
-VALUE_SHARE = 0.005
 #: v comes before w if w followed v at least this many times, and this share of the times that one followed the other.
 LEAST_TIMES, LEAST_SHARE = 5, 0.6
 #: The four fields of procurement records.
@@ -45,48 +43,74 @@ def held_values(long: DataFrame, *more: Column) -> DataFrame:
 
 
 def precedence(held: DataFrame) -> DataFrame:
-    """field, before, after: values of which one follows the other in dated rows. held: as held_values gives it.
+    """field, before, after, n: values of which one follows the other in dated rows, n times. held: as held_values gives it.
 
     Each group and value counts by its first date, so a group of any size gives at most as many transitions as it has
-    frequent values.
+    different values.
     """
     dated = held.where("dated > 0 and value is not null")
-    per_value = dated.groupBy("field", "value").agg(F.sum("dated").alias("n"))
-    per_field = per_value.groupBy("field").agg(F.sum("n").alias("all"))
-    frequent = per_value.join(per_field, "field").where(F.col("n") >= F.greatest(F.lit(LEAST_TIMES), F.col("all") * VALUE_SHARE)).select("field", "value")
     order = W.partitionBy("grp", "field").orderBy("first", "value")
-    first = dated.join(F.broadcast(frequent), ["field", "value"]).select("grp", "field", "value", "first")  # at most 1 / VALUE_SHARE values a field
-    steps = first.withColumn("next", F.lead("value").over(order)).withColumn("later", F.lead("first").over(order)).where("next is not null and later > first")
+    steps = dated.withColumn("next", F.lead("value").over(order)).withColumn("later", F.lead("first").over(order)).where("next is not null and later > first")
     n = cut(steps.groupBy("field", F.col("value").alias("before"), F.col("next").alias("after")).agg(F.count("*").alias("n")))
     back = n.select("field", F.col("before").alias("after"), F.col("after").alias("before"), F.col("n").alias("n_back"))
-    both = n.join(back, ["field", "before", "after"], "left").fillna(0, ["n_back"])
-    return both.where((F.col("n") >= LEAST_TIMES) & (F.col("n") >= LEAST_SHARE * (F.col("n") + F.col("n_back")))).select("field", "before", "after")
+    both = n.where(F.col("n") >= LEAST_TIMES).join(back, ["field", "before", "after"], "left").fillna(0, ["n_back"])
+    return both.where(F.col("n") >= LEAST_SHARE * (F.col("n") + F.col("n_back"))).select("field", "before", "after", "n")
+
+
+def closure(edges: DataFrame) -> DataFrame:
+    """field, before, after of all pairs that a chain of edges leads through; each round doubles the chains' length."""
+    reach = cut(edges.select("field", "before", "after").distinct())
+    n = reach.count()
+    while n:
+        further = reach.join(reach.select("field", F.col("before").alias("after"), F.col("after").alias("last")), ["field", "after"]).select("field", "before", F.col("last").alias("after"))
+        reach, known = cut(reach.union(further).distinct()), n
+        n = reach.count()
+        if n == known:
+            break
+    return reach
+
+
+def topological(edges: DataFrame) -> DataFrame:
+    """field, before, after: the strict order that the edges give, also through values between. edges: as precedence gives them.
+
+    Edges on cycles stay only where they lead from a value with less net arrivals over such edges to one with more, which
+    no cycle can do all around; a cycle without a slope orders nothing.
+    """
+    edges = cut(edges)
+    reach = closure(edges)
+    back = reach.select("field", F.col("before").alias("after"), F.col("after").alias("before"))
+    cyclic = cut(edges.join(back, ["field", "before", "after"], "left_semi"))
+    if cyclic.isEmpty():
+        return reach
+    ends = cyclic.select("field", F.col("after").alias("value"), "n").unionByName(cyclic.select("field", F.col("before").alias("value"), (-F.col("n")).alias("n")))
+    net = ends.groupBy("field", "value").agg(F.sum("n").alias("net"))
+    sloped = cyclic.join(net.select("field", F.col("value").alias("before"), F.col("net").alias("low")), ["field", "before"]).join(net.select("field", F.col("value").alias("after"), F.col("net").alias("high")), ["field", "after"])
+    return closure(edges.join(cyclic, ["field", "before", "after"], "left_anti").select("field", "before", "after").unionByName(sloped.where("low < high").select("field", "before", "after")))
 
 
 def current_values(held: DataFrame) -> DataFrame:
     """grp, field, current_value, current_by: the most current value of each group and field. held: as held_values gives it.
 
     current_by is `date` for the value of the latest dated row, `precedence` where no row is dated and a value has no
-    successor among the group's values while others have, `weight` for the heaviest, then smallest value otherwise. Null
-    values never stand for a group; a group without values has no row.
+    successor, near or far, among the group's values while others have, `weight` for the heaviest, then greatest value
+    otherwise. Null values never stand for a group; a group without values has no row.
     """
     held = held.where("value is not null")
-    before = cut(precedence(held))
-    after = before.groupBy("field", F.col("before").alias("value")).agg(F.collect_set("after").alias("after"))
-    placed_values = before.select("field", F.col("after").alias("value")).distinct()  # at most 1 / VALUE_SHARE values a field, so sets of them are bounded
-    # one aggregation for each group: its latest dated value, and for undated groups its candidates with their successors
-    marked = held.join(F.broadcast(after), ["field", "value"], "left").join(F.broadcast(placed_values.withColumn("placed", F.lit(True))), ["field", "value"], "left")
-    open_ = F.col("after").isNull()
     heaviest = F.struct("weight", F.col("value"))
-    groups = marked.groupBy("grp", "field").agg(
-        F.max_by("value", F.when(F.col("at").isNotNull(), F.struct("at", "value"))).alias("by_date"), F.max("at").alias("at"), F.collect_set(F.when(F.col("placed"), F.col("value"))).alias("placed"),
-        F.collect_set(F.when(~open_, F.struct("value", "weight", "after"))).alias("earlier"), F.max_by("value", F.when(open_, heaviest)).alias("open_value"), F.max(F.when(open_, F.col("weight"))).alias("open_weight"),
-    )
-    last = F.filter("earlier", lambda v: ~F.arrays_overlap(v["after"], F.col("placed")))
-    rest = F.concat(F.transform(last, lambda v: F.struct(v["weight"].alias("weight"), v["value"].alias("value"))), F.when(F.col("open_value").isNotNull(), F.array(F.struct(F.col("open_weight").alias("weight"), F.col("open_value").alias("value")))).otherwise(F.array().cast("array<struct<weight:double,value:string>>")))
-    followed = F.size("earlier") > F.size(last)
-    by = F.when(F.col("at").isNotNull(), "date").when(followed, "precedence").otherwise("weight")
-    return groups.select("grp", "field", F.coalesce("by_date", F.array_max(rest)["value"]).alias("current_value"), by.alias("current_by"))
+    groups = held.groupBy("grp", "field").agg(F.max_by("value", F.when(F.col("at").isNotNull(), F.struct("at", "value"))).alias("by_date"), F.max("at").alias("at"), F.max_by("value", heaviest).alias("by_weight"), F.count("*").alias("values"))
+    by = F.when(F.col("at").isNotNull(), "date")
+    open_ = cut(held.join(groups.where("at is null and values > 1").select("grp", "field"), ["grp", "field"], "left_semi").select("grp", "field", "value", "weight"))
+    if open_.isEmpty():  # dates decide everywhere, or there is nothing to choose from
+        return groups.select("grp", "field", F.coalesce("by_date", "by_weight").alias("current_value"), F.coalesce(by, F.lit("weight")).alias("current_by"))
+    order = topological(precedence(held).join(open_.select("field").distinct(), "field", "left_semi"))
+    # a value is earlier if one of those that it comes before is also held by its group
+    later = open_.join(order.withColumnRenamed("before", "value"), ["field", "value"]).select("grp", "field", "value", "after")
+    earlier = later.join(open_.select("grp", "field", F.col("value").alias("after")), ["grp", "field", "after"], "left_semi").select("grp", "field", "value").distinct()
+    marked = open_.join(earlier.withColumn("earlier", F.lit(True)), ["grp", "field", "value"], "left")
+    placed = marked.groupBy("grp", "field").agg(F.max_by("value", F.when(F.col("earlier").isNull(), heaviest)).alias("last"), F.count("earlier").alias("n_earlier")).where("n_earlier > 0")
+    found = groups.join(placed, ["grp", "field"], "left")
+    by = by.when(F.col("last").isNotNull(), "precedence").otherwise("weight")
+    return found.select("grp", "field", F.coalesce("by_date", "last", "by_weight").alias("current_value"), by.alias("current_by"))
 
 
 def usable(field: Column, value: Column) -> Column:

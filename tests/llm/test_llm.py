@@ -225,6 +225,20 @@ def test_record_survivors_and_precedence(spark):
     assert got["g0"] == ("new", "date") and got["u"] == ("mid", "precedence") and got["v"] == ("r", "weight") and "w" not in got
 
 
+def test_precedence_is_topological(spark):
+    import datetime as dt
+
+    day = lambda n: dt.datetime(2026, 1, n)
+    chain = [(f"g{i}", "f", v, day(n), 1.0) for i in range(5) for n, v in enumerate("ABCD", 1)]
+    many = [(f"m{i}", "f", f"often{i % 3}", day(1), 1.0) for i in range(5000)]  # A .. D have under 0.5 % of the rows
+    even = [(f"e{a}{b}{i}", "ring", v, day(n), 1.0) for a, b in ("PQ", "QR", "RP") for i in range(6) for n, v in enumerate(a + b, 1)]
+    sloped = [(f"s{a}{b}{i}", "slope", v, day(n), 1.0) for a, b, k in (("P", "Q", 9), ("Q", "R", 9), ("R", "P", 5), ("R", "S", 5)) for i in range(k) for n, v in enumerate(a + b, 1)]
+    open_ = [("far", "f", "A", None, 9.0), ("far", "f", "D", None, 1.0), ("far", "f", "B", None, 5.0), ("r", "ring", "P", None, 1.0), ("r", "ring", "Q", None, 1.0), ("r", "ring", "R", None, 2.0), ("s", "slope", "P", None, 9.0), ("s", "slope", "S", None, 1.0)]
+    df = survivors.held_values(spark.createDataFrame(chain + many + even + sloped + open_, "grp string, field string, value string, at timestamp, weight double"))
+    got = {r.grp: (r.current_value, r.current_by) for r in survivors.current_values(df).where("grp in ('far', 'r', 's')").collect()}
+    assert got == {"far": ("D", "precedence"), "r": ("R", "weight"), "s": ("S", "precedence")}
+
+
 def test_vendors_equal_brute_force(spark):
     rng = random.Random(11)
     true = ["VEN" + "".join(rng.choice("ABCDEFGH0123") for _ in range(6)) for _ in range(25)]
