@@ -18,7 +18,7 @@ def p3_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p3_current(spark: SparkSession, d: str) -> DataFrame:
-    return survivors.field_survivors(table(spark, d, "extracted_field"))
+    return survivors.current(table(spark, d, "extracted_field"), table(spark, d, "procurement_export_batch1"))
 
 
 def p4_found(spark: SparkSession, d: str) -> DataFrame:

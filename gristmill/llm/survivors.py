@@ -140,7 +140,7 @@ def field_survivors(fields: DataFrame) -> DataFrame:
 
 
 def record_survivors(records: DataFrame) -> DataFrame:
-    """file_id, entity_key, n_rows, row_key, current: the survivor of each load and vendor key, as written, with two or more rows.
+    """file_id, entity_key, n_rows, row_key, the four fields, current: the survivor of each load and vendor key, as written, with two or more rows.
 
     First goes the row with most values among the four fields, then the later updated_at (null earliest), then the smaller
     record_id. current maps each field that has a value to its most current one. Rows without a load or key form no group.
@@ -148,13 +148,27 @@ def record_survivors(records: DataFrame) -> DataFrame:
     rows = records.where("file_id is not null and entity_key is not null").select("file_id", "entity_key", "record_id", date_of(F.col("updated_at")).alias("day"), *FIELDS)
     n = sum((has(F.col(c)).cast("int") for c, has in FIELDS.items()), F.lit(0))
     order = F.struct(-n, -F.coalesce(F.unix_date("day"), F.lit(-(1 << 30))), "record_id")
-    best = cut(rows.groupBy("file_id", "entity_key").agg(F.count("*").alias("n_rows"), F.min_by("record_id", order).alias("record_id")).where("n_rows >= 2"))
+    best = cut(rows.groupBy("file_id", "entity_key").agg(F.count("*").alias("n_rows"), F.min_by(F.struct("record_id", *FIELDS), order).alias("b")).where("n_rows >= 2"))
     cells = F.explode(F.array(*(F.struct(F.lit(c).alias("field"), F.when(has(F.col(c)), spelled(F.col(c))).alias("value")) for c, has in FIELDS.items())))
     long = rows.join(best.select("file_id", "entity_key"), ["file_id", "entity_key"], "left_semi")
     long = long.select(F.struct("file_id", "entity_key").alias("grp"), "day", cells.alias("c")).select("grp", F.col("c.field").alias("field"), F.col("c.value").alias("value"), F.col("day").cast("timestamp").alias("at"), F.lit(1.0).alias("weight"))
     now = current_values(cut(held_values(long))).groupBy("grp").agg(F.map_from_entries(F.collect_list(F.struct("field", F.struct("current_value", "current_by")))).alias("current"))
     now = now.select("grp.file_id", "grp.entity_key", "current")
-    return best.join(now, ["file_id", "entity_key"], "left").select("file_id", "entity_key", "n_rows", F.col("record_id").cast("string").alias("row_key"), "current")
+    return best.join(now, ["file_id", "entity_key"], "left").select("file_id", "entity_key", "n_rows", F.col("b.record_id").cast("string").alias("row_key"), *(F.col(f"b.{c}").alias(c) for c in FIELDS), "current")
+
+
+def current_records(records: DataFrame) -> DataFrame:
+    """file_id, vendor (entity_key as written), field_name, n_rows, row_key, value, current_value, current_by: four rows for each group of record_survivors, the survivor's cell beside the most current value."""
+    cells = F.explode(F.array(*(F.struct(F.lit(c).alias("field_name"), F.col(c).cast("string").alias("value")) for c in FIELDS)))
+    now = F.try_element_at("current", F.col("c.field_name"))
+    return record_survivors(records).select("*", cells.alias("c")).select("file_id", F.col("entity_key").alias("vendor"), "c.field_name", "n_rows", "row_key", "c.value", now["current_value"].alias("current_value"), now["current_by"].alias("current_by"))
+
+
+def current(fields: DataFrame, records: DataFrame) -> DataFrame:
+    """table_name, file_id (null for extracted_field), vendor, field_name, n_rows, row_key, value, current_value, current_by of the survivors of both tables."""
+    columns = ["table_name", "file_id", "vendor", "field_name", "n_rows", "row_key", "value", "current_value", "current_by"]
+    of_fields = field_survivors(fields).withColumns({"table_name": F.lit("extracted_field"), "file_id": F.lit(None).cast("string")})
+    return of_fields.select(*columns).unionByName(current_records(records).withColumn("table_name", F.lit("procurement_export_batch1")).select(*columns))
 
 
 def survivors(fields: DataFrame, records: DataFrame) -> DataFrame:

@@ -225,6 +225,20 @@ def test_record_survivors_and_precedence(spark):
     assert got["g0"] == ("new", "date") and got["u"] == ("mid", "precedence") and got["v"] == ("r", "weight") and "w" not in got
 
 
+def test_current_covers_both_tables(spark, tmp_path):
+    from gristmill.llm import queries
+
+    ddl = "record_id bigint, file_id string, entity_key string, employee_count bigint, region_code double, compliance_flag string, registration_number string, updated_at string"
+    rows = [(10 * i + n, "l", f"V{i}", 5, 1.0, v, "R", f"2026-01-0{n}") for i in range(6) for n, v in ((1, "clear"), (2, "flagged"))]
+    rows += [(90, "l", "U", 5, 1.0, "clear", "R", None), (91, "l", "U", None, 1.0, "flagged", "R", None)]
+    spark.createDataFrame(rows, ddl).write.parquet(str(tmp_path / "procurement_export_batch1.parquet"))
+    fields = "id string, entity_key string, field_name string, value string, confidence double, extracted_at timestamp_ntz"
+    spark.createDataFrame([("1", "VENAAAAAA", "f", "x", 1.0, None), ("2", "VENAAAAAA", "f", "y", 0.5, None)], fields).write.parquet(str(tmp_path / "extracted_field.parquet"))
+    got = {(r.table_name, r.vendor, r.field_name): (r.n_rows, r.row_key, r.value, r.current_value, r.current_by) for r in queries.QUERIES["p3_current"](spark, str(tmp_path)).collect()}
+    assert len(got) == 7 * 4 + 1 and got["extracted_field", "VENAAAAAA", "f"] == (2, "1", "x", "x", "weight")
+    assert got["procurement_export_batch1", "U", "compliance_flag"] == (2, "90", "clear", "flagged", "precedence") and got["procurement_export_batch1", "V0", "compliance_flag"] == (2, "2", "flagged", "flagged", "date")
+
+
 def test_precedence_is_topological(spark):
     import datetime as dt
 
