@@ -36,7 +36,15 @@ def p7_profile(spark: SparkSession, d: str) -> DataFrame:
     return footers.load_profiles(spark, f"{d}/procurement_export_batch1.parquet").select("file_id", "column_name", "rows", "null_rate", "distinct_count", "inferred_type")
 
 
-QUERIES = {q.__name__: q for q in (p1_found, p1_filled, p1_filled_finance, p2_found, p2_table, p7_found, p7_profile)}
+def p7_profiles(spark: SparkSession, d: str) -> DataFrame:
+    return footers.all_profiles(spark, d)
+
+
+def p7_tables(spark: SparkSession, d: str) -> DataFrame:
+    return footers.table_profiles(spark, d)
+
+
+QUERIES = {q.__name__: q for q in (p1_found, p1_filled, p1_filled_finance, p2_found, p2_table, p7_found, p7_profile, p7_profiles, p7_tables)}
 
 _NO_VALUE = "('','-','--','?','n/a','na','#n/a','nan','null','none','nil','unknown','not provided','not available','not known','missing','pending','tbd','tbc','undefined','reg-xxxxxx')"
 _NO_NUMBER = "(-1,0,-999,-9999,999999,9999999)"

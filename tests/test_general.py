@@ -111,6 +111,21 @@ def test_footer_profile_equals_scan(spark, tmp_path):
     assert footers.load_profiles(spark, empty).count() == 0
 
 
+def test_profiles_of_all_tables_with_ranges(spark, tmp_path):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    for t in footers.TABLES:
+        pq.write_table(pa.table({"record_id": [1, 2, 3, 4], "file_id": ["a", "a", "b", "b"], "region_code": [float("nan"), None, 3.0, float("nan")], "n": [7, 12, None, None], "updated_at": ["x" * 5000 + "b", "x" * 5000 + "a", "q", None]}), str(tmp_path / f"{t}.parquet"), row_group_size=2)
+    got = {(r.table_name, r.file_id, r.column_name): (r.low, r.high, r.distinct_count) for r in problems.QUERIES["p7_profiles"](spark, str(tmp_path)).collect()}
+    assert len(got) == 3 * 2 * 3
+    for t in footers.TABLES:
+        assert got[t, "a", "region_code"] == (None, None, 0) and got[t, "b", "region_code"] == ("3.0", "3.0", 1) and got[t, "a", "n"] == ("7.0", "12.0", 2) and got[t, "b", "n"] == (None, None, 0)
+        assert got[t, "a", "updated_at"] == ("x" * 5000 + "a", "x" * 5000 + "b", 2)
+    whole = {(r.table_name, r.column_name): (r.rows, r.nulls, r.low, r.high, r.from_footers) for r in problems.QUERIES["p7_tables"](spark, str(tmp_path)).collect()}
+    assert len(whole) == 3 * 5 and all(whole[t, "n"] == (4, 2, "7.0", "12.0", True) for t in footers.TABLES)
+
+
 def test_wrong_rows(spark):
     computed = spark.createDataFrame([("a", "x", 0.25, 3, "text"), ("a", "y", 0.0, 1, "numeric")], "file_id string, column_name string, null_rate double, distinct_count bigint, inferred_type string")
     stored = spark.createDataFrame([("a", "x", 0.25, 3, "text"), ("a", "y", 0.0, 2, "numeric"), ("a", "z", 0.0, 2, "text"), ("other", "x", 0.0, 1, "text"), ("a", "x", None, None, None)], computed.schema)
