@@ -125,14 +125,25 @@ def changes(lines: DataFrame, registry: DataFrame) -> DataFrame:
 
 
 def aliases(report: DataFrame, target: dict[str, str] = TARGET) -> DataFrame:
-    """alias, field: headers that renames lead back to a field of the target schema, most often the same one. Chains of renames are followed three steps."""
-    steps = report.where("change_kind = 'renamed'").select(F.col("field_name").alias("alias"), "was", F.lit(1).alias("n"))
+    """alias, field: headers that renames join to a field of the target schema, in either direction and over any number of steps.
+
+    The fewest steps count, then the field that the most renames lead to. Each round finds a header at least, so there are
+    at most as many as headers.
+    """
+    renames = cut(report.where("change_kind = 'renamed'").select("field_name", "was"))
     names = list(target)
-    found = steps.where(F.col("was").isin(names) & ~F.col("alias").isin(names)).select("alias", F.col("was").alias("field"), "n")
-    for _ in range(2):
-        further = steps.join(found.select(F.col("alias").alias("was"), "field").distinct(), "was").where(~F.col("alias").isin(names)).select("alias", "field", "n")
-        found = found.unionByName(further)
-    return found.groupBy("alias", "field").agg(F.sum("n").alias("n")).groupBy("alias").agg(F.max_by("field", F.struct("n", "field")).alias("field"))
+    either = renames.select(F.col("field_name").alias("alias"), F.col("was").alias("other")).unionByName(renames.select(F.col("was").alias("alias"), F.col("field_name").alias("other")))
+    steps = cut(either.where(~F.col("alias").isin(names)).groupBy("alias", "other").agg(F.count("*").alias("n")))
+
+    def nearest(linked: DataFrame) -> DataFrame:
+        return cut(linked.groupBy("alias", "field").agg(F.sum("n").alias("n")).groupBy("alias").agg(F.max_by("field", F.struct("n", "field")).alias("field")))
+
+    newest = found = nearest(steps.where(F.col("other").isin(names)).select("alias", F.col("other").alias("field"), "n"))
+    while not newest.isEmpty():
+        further = steps.join(newest.select(F.col("alias").alias("other"), "field"), "other").join(found, "alias", "left_anti")
+        newest = nearest(further.select("alias", "field", "n"))
+        found = cut(found.unionByName(newest))
+    return found
 
 
 def enforced(field: Column, kind_of: str) -> Column:

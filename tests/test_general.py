@@ -89,6 +89,14 @@ def test_rescue_and_replay(spark):
     assert {r.alias: r.field for r in drift.aliases(drift.changes(lines, registry), target).collect()} == {"Vendor": "entity_key", "as_of": "updated_at"}
 
 
+def test_aliases_of_any_distance_and_direction(spark):
+    renames = [("a1", "updated_at"), ("a2", "a1"), ("a3", "a2"), ("a4", "a3"), ("a5", "a4"), ("n", "headcount"), ("headcount", "staff"), ("a1", "n"), ("x", "y")]
+    report = spark.createDataFrame([("f", new, "renamed", old) for new, old in renames] + [("f", "z", "added", None)], "file_id string, field_name string, change_kind string, was string")
+    got = {r.alias: r.field for r in drift.aliases(report, {"updated_at": "date", "n": "bigint"}).collect()}
+    assert got == {"a1": "updated_at", "a2": "updated_at", "a3": "updated_at", "a4": "updated_at", "a5": "updated_at", "headcount": "n", "staff": "n"}
+    assert drift.aliases(report.where("false")).count() == 0
+
+
 def test_footer_profile_equals_scan(spark, tmp_path):
     import pyarrow as pa
     import pyarrow.parquet as pq
@@ -111,6 +119,14 @@ def test_footer_profile_equals_scan(spark, tmp_path):
     assert footers.load_profiles(spark, empty).count() == 0
 
 
+def test_columns_of_a_row_group_go_to_several_tasks(spark, tmp_path):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    pq.write_table(pa.table({"file_id": ["a", "b"], **{f"c{i}": [1, 2] for i in range(12)}}), str(tmp_path / "one.parquet"))
+    assert footers.parts(spark, str(tmp_path / "one.parquet")).select(F.spark_partition_id()).distinct().count() > 1
+
+
 def test_profiles_of_all_tables_with_ranges(spark, tmp_path):
     import pyarrow as pa
     import pyarrow.parquet as pq
