@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Words and marks that stand for no value, in lower case and trimmed.
-NO_VALUE = ("", "-", "--", "?", "n/a", "na", "#n/a", "nan", "null", "none", "nil", "unknown", "not provided", "not available", "not known", "missing", "pending", "tbd", "tbc", "undefined", "reg-xxxxxx")
+NO_VALUE = ("", "-", "--", "?", "n/a", "na", "#n/a", "nan", "null", "none", "nil", "unknown", "not provided", "not available", "not known", "missing", "pending", "tbd", "tbc", "undefined")
 #: Numbers that stand for no value.
 NO_NUMBER = (-1, 0, -999, -9999, 999999, 9999999)
-
+#: An identifier none of whose digits or letters tells one thing from another: all zeros, all nines or all X behind its prefix.
+BLANK_IDENTIFIER = r"^(?:[a-z]{1,5}[-/ ]?)?(?:0{3,}|9{4,}|x{3,})$"
+#: An identifier stands for none if at least this many keys hold it, and this share of all keys that hold any.
+SHARED_KEYS, SHARED_SHARE = 20, 0.01
 
 #: Blanks that may stand around a value.
 BLANKS = " \t\n\r\f\v\u00a0\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u200b\u202f\u205f\u3000\ufeff"
@@ -26,6 +29,24 @@ def has_text(c: Column) -> Column:
     return F.coalesce(~spelled(c).isin(*NO_VALUE), F.lit(False))
 
 
+def has_identifier(c: Column, shared: tuple[str, ...] = ()) -> Column:
+    """True if a text cell holds an identifier: neither a word for no value nor blank digits, nor one of `shared`, spelled as shared_identifiers gives them."""
+    s = spelled(c)
+    return F.coalesce(~s.isin(*NO_VALUE, *shared) & ~s.rlike(BLANK_IDENTIFIER), F.lit(False))
+
+
+def shared_identifiers(df: DataFrame, column: str, key: str) -> tuple[str, ...]:
+    """Values of an identifier column, spelled, that far more keys hold than any real one: they only stand for no value.
+
+    A real identifier belongs to one key and a few spellings of it. Each value found is held by SHARED_SHARE of the keys,
+    so what comes to the driver is bounded by the values a key has, over SHARED_SHARE. A null column or key counts for nothing.
+    """
+    keys = df.where(F.col(key).isNotNull()).agg(F.approx_count_distinct(key, 0.01)).first()[0]
+    pairs = df.where(F.col(key).isNotNull()).select(F.col(key).alias("k"), spelled(F.col(column)).alias("v")).where(F.col("v").isNotNull() & ~F.col("v").isin(*NO_VALUE)).distinct()
+    held = pairs.groupBy("v").agg(F.count("*").alias("n")).where(F.col("n") >= max(SHARED_KEYS, SHARED_SHARE * keys))
+    return tuple(sorted(r.v for r in held.collect()))
+
+
 def has_number(c: Column) -> Column:
     """True if a numeric cell holds a value: not null, not NaN, none of the numbers that stand for no value."""
     d = c.cast("double")

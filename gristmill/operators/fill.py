@@ -1,24 +1,27 @@
 """Problem 1: filling missing cells from similar records.
 
-A cell is filled from the records of the same vendor, else from the cluster of like vendors in the same quarter, else from
-the cluster, else from all records; each filled cell names the method. Clusters come from K-prototypes over profiles of a
-vendor in a quarter: distance is squared on standardised numbers and counts mismatches on categories, over the features
-that both sides have.
+Records are clustered by K-prototypes over the features that they show: distance is squared on standardised numbers and
+counts mismatches on categories, over the features that both sides have. A missing cell gets the median or mode of its
+vendor's records in its own cluster; parents step in where that is empty: all records of the vendor, the cluster in the
+quarter, the cluster, all records. Each filled cell names its method.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
 
 from gristmill.functions.joins import split_join
-from gristmill.functions.values import date_of, has_number, has_text, spelled
-from gristmill.sources.tables import cut
+from gristmill.functions.values import date_of, has_identifier, has_number, has_text, shared_identifiers, spelled
+from gristmill.sources.tables import cut, spread
 
-METHODS = ("vendor", "cluster_quarter", "cluster", "all", "none")
+METHODS = ("vendor_cluster", "vendor", "cluster_quarter", "cluster", "all", "none")
+#: Methods whose donors are the vendor's own records.
+OWN = METHODS[:2]
+UNDATED = "1970-01-01"
 
 
 @dataclass(frozen=True)
@@ -27,128 +30,131 @@ class Fields:
 
     table: str
     numbers: tuple[str, ...] = ()
+    codes: tuple[str, ...] = ()  # categories written as numbers: filled by the mode
     categories: tuple[str, ...] = ()
     identifiers: tuple[str, ...] = ()
-    features: tuple[str, ...] = ()  # numeric columns that are never filled but tell vendors apart
+    features: tuple[str, ...] = ()  # codes that are never filled but tell vendors apart
     row: str = "record_id"
     key: str = "entity_key"
     time: str = "updated_at"
 
     @property
     def filled(self) -> tuple[str, ...]:
-        return (*self.numbers, *self.categories, *self.identifiers)
+        return (*self.numbers, *self.codes, *self.categories, *self.identifiers)
 
 
-PROCUREMENT = Fields("procurement_export_batch1", ("employee_count", "region_code"), ("compliance_flag",), ("registration_number",))
+PROCUREMENT = Fields("procurement_export_batch1", ("employee_count",), ("region_code",), ("compliance_flag",), ("registration_number",))
 FINANCE = Fields("finance_extract", identifiers=("registration_number",), features=("region_code",))
 
 
-def cell(fields: Fields, c: str) -> Column:
-    """The usable value of a column as a string, null where it is missing. Texts are compared without case and blanks at the ends."""
-    if c in fields.numbers or c in fields.features:
-        return F.when(has_number(F.col(c)), F.col(c).cast("double"))
-    return F.when(has_text(F.col(c)), spelled(F.col(c)) if c in fields.categories else F.trim(F.col(c)))
+def cell(fields: Fields, c: str, shared: dict[str, tuple[str, ...]] | None = None) -> Column:
+    """The usable value of a column as text, null where it is missing. Categories are compared without case and blanks at the ends."""
+    if c in fields.numbers or c in fields.codes or c in fields.features:
+        return F.when(has_number(F.col(c)), F.col(c).cast("double").cast("string"))
+    if c in fields.identifiers:
+        return F.when(has_identifier(F.col(c), (shared or {}).get(c, ())), F.trim(F.col(c)))
+    return F.when(has_text(F.col(c)), spelled(F.col(c)))
 
 
-def profiles(df: DataFrame, fields: Fields) -> DataFrame:
-    """One row for each vendor and quarter: mean of the logarithm of each number, most frequent category, rows."""
-    rows = df.where(F.col(fields.key).isNotNull()).select(
-        F.col(fields.key).alias("key"), F.coalesce(F.date_trunc("quarter", date_of(F.col(fields.time))).cast("date"), F.lit("1970-01-01").cast("date")).alias("quarter"),
-        *(cell(fields, c).alias(c) for c in (*fields.numbers, *fields.features, *fields.categories)),
-    )
-    return rows.groupBy("key", "quarter").agg(
-        F.count("*").alias("n"),
-        *(F.avg(F.log1p(F.abs(c))).alias(c) for c in (*fields.numbers, *fields.features)),
-        *(F.mode(c, True).alias(c) for c in fields.categories),
-    )
-
+def k_prototypes(points: DataFrame, numbers: tuple[str, ...], categories: tuple[str, ...], k: int = 12, rounds: int = 6, gamma: float = 0.8) -> Callable[[DataFrame], DataFrame]:
+    """A function that adds `cluster`, 0 .. k - 1, to rows that have the columns of `points`: their nearest prototype; null for a row without any feature.
 
-def k_prototypes(points: DataFrame, numbers: tuple[str, ...], categories: tuple[str, ...], k: int = 12, rounds: int = 6, gamma: float = 0.8) -> DataFrame:
-    """`points` with `cluster`, 0 .. k - 1, and `size` the number of clusters.
-
-    Numbers are standardised; a missing feature adds nothing to a distance. The first prototypes are the k points whose
-    hash is least, so the result is the same in every run. Only prototypes, at most k rows, come to the driver.
+    points: numbers (double), categories (string) and n, how many records show them. Numbers count by their logarithm,
+    standardised; a missing feature adds nothing to a distance. The first prototypes are the k points whose hash is least,
+    so the result is the same in every run. Only prototypes, at most k rows of features, come to the driver.
     """
-    stats = points.agg(*(F.avg(c).alias(f"m_{c}") for c in numbers), *(F.stddev_pop(c).alias(f"s_{c}") for c in numbers), F.count("*").alias("n")).first()
-    if not stats["n"] or not (numbers or categories):
-        return points.withColumn("cluster", F.lit(0))
-    z = {c: (F.col(c) - (stats[f"m_{c}"] or 0.0)) / (stats[f"s_{c}"] or 1.0) for c in numbers}
-    scaled = points.withColumns({f"z_{c}": v for c, v in z.items()})
-    cols = [f"z_{c}" for c in numbers] + list(categories)
-    prototypes = [tuple(r) for r in scaled.select(*cols, F.xxhash64(*cols).alias("h")).dropDuplicates(["h"]).orderBy("h").limit(k).drop("h").collect()]
-
-    def nearest(found: list[tuple]) -> Column:
-        distances = []
-        for i, p in enumerate(found):
-            d = F.lit(0.0)
-            for name, v in zip(cols, p):
-                if v is None:
-                    continue
-                far = F.pow(F.col(name) - F.lit(v), 2) if name.startswith("z_") else F.when(F.col(name) != F.lit(v), F.lit(gamma)).otherwise(0.0)
-                d = d + F.coalesce(far, F.lit(0.0))
-            distances.append(F.struct(d.alias("d"), F.lit(i).alias("i")))
-        return F.array_min(F.array(*distances))["i"]
-
+    logs = {c: F.log1p(F.abs(F.col(c))) for c in numbers}
+    weight = {c: F.when(F.col(c).isNotNull(), F.col("n")) for c in numbers}
+    moments = [m for c in numbers for m in (F.sum(weight[c]), F.sum(logs[c] * weight[c]), F.sum(logs[c] * logs[c] * weight[c]))]
+    found, columns = points.agg(F.count("*"), *moments).first(), []
+    for i, c in enumerate(numbers):
+        n, total, squares = (found[1 + 3 * i + j] or 0 for j in range(3))
+        mean = total / n if n else 0.0
+        spread = max(squares / n - mean * mean, 0.0) ** 0.5 if n else 0.0
+        columns.append((logs[c] - F.lit(mean)) / F.lit(spread or 1.0))
+    columns += [F.col(c) for c in categories]
+    if not found[0] or not columns:
+        return lambda df: df.withColumn("cluster", F.lit(None).cast("int"))
+    names = [f"__f{i}" for i in range(len(columns))]
+    shown = points.select("n", *(c.alias(f) for f, c in zip(names, columns)))
+    first = shown.select(*names).dropDuplicates().orderBy(F.xxhash64(*names), *names).limit(k).collect()
+    prototypes = [list(r) for r in first]
+
+    def assign(df: DataFrame) -> DataFrame:
+        kind = ", ".join(f"{f}: {'double' if i < len(numbers) else 'string'}" for i, f in enumerate(names))
+        held = F.array(*(F.struct(F.lit(i).alias("i"), *(F.lit(v).alias(f) for f, v in zip(names, p))).cast(f"struct<i: int, {kind}>") for i, p in enumerate(prototypes)))
+
+        def distance(p: Column) -> Column:
+            parts = [F.pow(F.col(f) - p[f], 2) if i < len(numbers) else F.when(F.col(f) != p[f], gamma) for i, f in enumerate(names)]
+            return F.struct(sum((F.coalesce(d, F.lit(0.0)) for d in parts), F.lit(0.0)).alias("d"), p["i"].alias("i"))
+
+        any_ = F.coalesce(*(F.col(f).cast("string") for f in names)).isNotNull()
+        return df.withColumn("cluster", F.when(any_, F.array_min(F.transform(held, distance))["i"]))
+
+    values = F.explode(F.array(*(F.struct(F.lit(i).alias("f"), (F.col(f) if i < len(numbers) else F.lit(None)).cast("double").alias("x"), (F.lit(None) if i < len(numbers) else F.col(f)).cast("string").alias("v")) for i, f in enumerate(names))))
     for _ in range(rounds):
-        new = scaled.groupBy(nearest(prototypes).alias("cluster")).agg(*(F.avg(c) if c.startswith("z_") else F.mode(c, True) for c in cols)).collect()
-        moved = [tuple(r)[1:] for r in sorted(new, key=lambda r: r[0])]
+        # sums for each value first, so that a cluster's centre comes from as many rows as it has different values
+        sums = assign(shown).select("cluster", "n", values.alias("s")).where("s.x is not null or s.v is not null").groupBy("cluster", "s.f", "s.v").agg(F.sum("n").alias("n"), F.sum(F.col("s.x") * F.col("n")).alias("x"))
+        moved = [list(p) for p in prototypes]
+        for r in sums.groupBy("cluster", "f").agg((F.sum("x") / F.sum("n")).alias("x"), F.min_by("v", F.struct(-F.col("n"), "v")).alias("v")).collect():
+            moved[r.cluster][r.f] = r.x if r.f < len(numbers) else r.v
         if moved == prototypes:
             break
         prototypes = moved
-    return scaled.withColumn("cluster", nearest(prototypes)).drop(*(f"z_{c}" for c in numbers))
+    return lambda df: assign(df.withColumns(dict(zip(names, columns)))).drop(*names)
 
 
-def fills(df: DataFrame, fields: Fields, k: int = 12) -> DataFrame:
-    """row (as long), field_name, filled_value (string), method of each missing cell.
+def central(counted: DataFrame, fields: Fields, *by: str) -> DataFrame:
+    """by, field_name, value: the median of the records for numbers, else the most frequent value, of equals the smallest. counted: by, field_name, value, n."""
+    numeric = F.col("field_name").isin(*fields.numbers) if fields.numbers else F.lit(False)
+    per_value = counted.groupBy(*by, "field_name", "value").agg(F.sum("n").alias("n"))
+    median = F.percentile(F.when(numeric, F.col("value").try_cast("double")), 0.5, F.col("n")).cast("string")
+    return per_value.groupBy(*by, "field_name").agg(F.coalesce(median, F.min_by("value", F.struct(-F.col("n"), "value"))).alias("value"))
+
+
+def fills(df: DataFrame, fields: Fields, k: int = 12, own_only: bool = False) -> DataFrame:
+    """row (as long), field_name, filled_value (string), method of each missing cell; with `own_only`, of those that the vendor's own records fill.
 
     method is one of METHODS: `none` where no donor exists. A cell is missing if it is null, NaN, or only stands for no
-    value. Numbers get the lower median of the records, categories and identifiers the most frequent value, ties the smallest. Vendors go by
-    their key exactly as written; rows without a key take part in no vendor but in the fallback over all records.
+    value; what an identifier column holds for far too many vendors stands for none. Numbers get the median of the records,
+    all else the most frequent value, ties the smallest. Vendors go by their key exactly as written; rows without a key
+    take part in no vendor but in the fallback over clusters and all records. Rows without a date share one quarter.
     """
+    texts = {c: cell(fields, c) for c in (*fields.filled, *fields.features)}
     rows = df.select(
-        F.col(fields.row).cast("long").alias("row"), F.col(fields.key).alias("key"),
-        F.coalesce(F.date_trunc("quarter", date_of(F.col(fields.time))).cast("date"), F.lit("1970-01-01").cast("date")).alias("quarter"),
-        *(cell(fields, c).cast("string").alias(c) for c in fields.filled),
+        F.col(fields.row).cast("long").alias("row"), F.col(fields.key).alias("key"), F.coalesce(F.date_trunc("quarter", date_of(F.col(fields.time))).cast("date"), F.lit(UNDATED).cast("date")).alias("quarter"),
+        *(texts[c].cast("double" if c in fields.numbers else "string").alias(c) for c in texts),
     )
-    points = cut(profiles(df, fields))
-    clusters = cut(k_prototypes(points, (*fields.numbers, *fields.features), fields.categories, k).select(F.concat_ws("|", "quarter", "key").alias("kq"), "cluster"))
-    kq = F.when(F.col("key").isNotNull(), F.concat_ws("|", "quarter", "key"))
-    cells = rows.select("key", "quarter", F.explode(F.array(*(F.struct(F.lit(c).alias("field_name"), F.col(c).alias("value")) for c in fields.filled))).alias("c")).select("key", "quarter", "c.*")
-    # one count for each value of a vendor and quarter, summed up before anything is compared
-    counted = cut(cells.where("value is not null").groupBy("key", "quarter", "field_name", "value").agg(F.count("*").alias("n")))
-    numeric = F.col("field_name").isin(*fields.numbers) if fields.numbers else F.lit(False)
-    identifier = F.col("field_name").isin(*fields.identifiers) if fields.identifiers else F.lit(False)
-
-    def donors(by: list[str], source: DataFrame) -> DataFrame:
-        """Mode, or lower median of the records, of each group. Equal values are counted first, so a group has as many rows as values, each with its records."""
-        per_value = source.groupBy(*by, "field_name", "value").agg(F.sum("n").alias("n"))
-        mode = per_value.where(~numeric).groupBy(*by, "field_name").agg(F.max_by("value", F.struct("n", F.expr("-xxhash64(value)"))).alias("value"))
-        if not fields.numbers:
-            return mode
-        group = W.partitionBy(*by, "field_name")
-        number = per_value.where(numeric).withColumn("number", F.expr("try_cast(value AS double)"))
-        number = number.withColumn("upto", F.sum("n").over(group.orderBy("number").rowsBetween(W.unboundedPreceding, W.currentRow))).withColumn("all", F.sum("n").over(group))
-        return mode.unionByName(number.where("2 * upto >= all").groupBy(*by, "field_name").agg(F.min("number").cast("string").alias("value")))
-
-    def wide(by: list[str], name: str, source: DataFrame) -> DataFrame:
-        return donors(by, source).groupBy(*by).agg(F.map_from_entries(F.collect_list(F.struct("field_name", "value"))).alias(name))
-
-    missing = rows.select("row", "key", "quarter", F.array_compact(F.array(*(F.when(F.col(c).isNull(), F.lit(c)) for c in fields.filled))).alias("fields")).where(F.size("fields") > 0)
-    found = split_join(missing, wide(["key"], "by_vendor", counted.where("key is not null")), "key")
-    found = cut(found.select("row", kq.alias("kq"), "quarter", F.explode("fields").alias("field_name"), "by_vendor").withColumn("value", F.try_element_at("by_vendor", F.col("field_name"))).drop("by_vendor"))
-    done = found.where("value is not null").select("row", "field_name", F.col("value").alias("filled_value"), F.lit("vendor").alias("method"))
-    shared = counted.where(~identifier).withColumn("kq", kq).join(clusters, "kq", "left").groupBy("cluster", "quarter", "field_name", "value").agg(F.sum("n").alias("n"))
-    shared = cut(shared)
-    rest = split_join(found.where("value is null").drop("value"), clusters, "kq")
-    # clusters are at most k, quarters as many as the years covered have: both tables are bounded by k times the quarters
-    rest = rest.join(F.broadcast(wide(["cluster", "quarter"], "by_quarter", shared.where("cluster is not null"))), ["cluster", "quarter"], "left")
-    rest = rest.join(F.broadcast(wide(["cluster"], "by_cluster", shared.where("cluster is not null"))), "cluster", "left")
-    everything = donors([], shared).agg(F.map_from_entries(F.collect_list(F.struct("field_name", "value"))).alias("by_all"))
-    rest = rest.join(F.broadcast(everything), F.lit(True), "left")  # one row
-    ways = [("cluster_quarter", "by_quarter"), ("cluster", "by_cluster"), ("all", "by_all")]
-    best = F.coalesce(*(F.when(F.try_element_at(m, F.col("field_name")).isNotNull(), F.struct(F.lit(name).alias("method"), F.try_element_at(m, F.col("field_name")).alias("value"))) for name, m in ways))
-    rest = rest.withColumn("b", best).select("row", "field_name", F.col("b.value").alias("filled_value"), F.coalesce("b.method", F.lit("none")).alias("method"))
-    return done.unionByName(rest)
+    kinds = (*fields.codes, *fields.features, *fields.categories)
+    points = cut(spread(rows.groupBy(*fields.numbers, *kinds).agg(F.count("*").alias("n"))))
+    rows = k_prototypes(points, fields.numbers, kinds, k)(rows)
+    cells = rows.select("key", "cluster", "quarter", F.explode(F.array(*(F.struct(F.lit(c).alias("field_name"), F.col(c).cast("string").alias("value")) for c in fields.filled))).alias("c")).select("key", "cluster", "quarter", "c.*")
+    # one count for each value of a vendor, cluster and quarter: all that donors need, summed up before anything is compared
+    counted = cut(cells.where("value is not null").groupBy("key", "cluster", "quarter", "field_name", "value").agg(F.count("*").alias("n")))
+    shared = {c: shared_identifiers(counted.where(F.col("field_name") == c), "value", "key") for c in fields.identifiers}
+    for c, values in shared.items():
+        if values:
+            counted = counted.where(~((F.col("field_name") == c) & spelled(F.col("value")).isin(*values)))
+
+    own = counted.where("key is not null")
+    donors = central(own, fields, "key").select("key", F.col("field_name").alias("name"), "value").unionByName(central(own.where("cluster is not null"), fields, "key", "cluster").select("key", F.concat("cluster", F.lit("|"), "field_name").alias("name"), "value"))
+    donors = donors.groupBy("key").agg(F.map_from_entries(F.collect_list(F.struct("name", "value"))).alias("own"))  # (k + 1) entries a field at most
+    gone = F.array_compact(F.array(*(F.when(F.col(c).isNull() | (spelled(F.col(c)).isin(*shared[c]) if shared.get(c) else F.lit(False)), F.lit(c)) for c in fields.filled)))
+    missing = cut(rows.select("row", "key", "cluster", "quarter", gone.alias("fields")).where(F.size("fields") > 0))
+    found = split_join(missing, donors, "key").select("row", "cluster", "quarter", "own", F.explode("fields").alias("field_name"))
+    like, any_ = F.try_element_at("own", F.concat("cluster", F.lit("|"), "field_name")), F.try_element_at("own", F.col("field_name"))
+    found = found.select("row", "cluster", "quarter", "field_name", F.coalesce(like, any_).alias("filled_value"), F.when(like.isNotNull(), OWN[0]).when(any_.isNotNull(), OWN[1]).alias("method"))
+    if own_only:
+        return found.where("method is not null").select("row", "field_name", "filled_value", "method")
+
+    others = counted.where(~F.col("field_name").isin(*fields.identifiers)) if fields.identifiers else counted
+    others = cut(others.groupBy("cluster", "quarter", "field_name", "value").agg(F.sum("n").alias("n")))
+    # clusters are at most k, quarters as many as the covered years have: these tables are bounded by k times the quarters
+    found = found.join(F.broadcast(central(others, fields, "cluster", "quarter").withColumnRenamed("value", "v0")), ["cluster", "quarter", "field_name"], "left")
+    found = found.join(F.broadcast(central(others, fields, "cluster").withColumnRenamed("value", "v1")), ["cluster", "field_name"], "left")
+    found = found.join(F.broadcast(central(others, fields).withColumnRenamed("value", "v2")), ["field_name"], "left")
+    method = F.coalesce("method", *(F.when(F.col(f"v{i}").isNotNull(), F.lit(m)) for i, m in enumerate(METHODS[2:5])), F.lit(METHODS[5]))
+    return found.select("row", "field_name", F.coalesce("filled_value", "v0", "v1", "v2").alias("filled_value"), method.alias("method"))
 
 
 def fill_missing(df: DataFrame, fields: Fields, k: int = 12) -> DataFrame:
@@ -158,12 +164,12 @@ def fill_missing(df: DataFrame, fields: Fields, k: int = 12) -> DataFrame:
     types = dict(df.dtypes)
     for c in fields.filled:
         f = F.try_element_at("__f", F.lit(c))
-        value = F.round(f["filled_value"].cast("double")).cast(types[c]) if c in fields.numbers else f["filled_value"].cast(types[c])
+        value = f["filled_value"] if types[c] == "string" else F.round(f["filled_value"].try_cast("double")).cast(types[c])
         out = out.withColumn(f"{c}_method", f["method"]).withColumn(c, F.when(f.isNotNull(), value).otherwise(F.col(c)))
     return out.drop("__row", "__f")
 
 
 def fillable(procurement: DataFrame, finance: DataFrame) -> DataFrame:
-    """table_name, record_id, field_name of the cells filled from the vendor's own records."""
-    parts = [fills(df, f).where("method = 'vendor'").select(F.lit(f.table).alias("table_name"), F.col("row").alias("record_id"), "field_name") for df, f in ((procurement, PROCUREMENT), (finance, FINANCE))]
+    """table_name, record_id, field_name of the cells that the vendor's own records fill."""
+    parts = [fills(df, f, own_only=True).select(F.lit(f.table).alias("table_name"), F.col("row").alias("record_id"), "field_name") for df, f in ((procurement, PROCUREMENT), (finance, FINANCE))]
     return parts[0].unionByName(parts[1])

@@ -46,16 +46,18 @@ def p7_tables(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES = {q.__name__: q for q in (p1_found, p1_filled, p1_filled_finance, p2_found, p2_table, p7_found, p7_profile, p7_profiles, p7_tables)}
 
-_NO_VALUE = "('','-','--','?','n/a','na','#n/a','nan','null','none','nil','unknown','not provided','not available','not known','missing','pending','tbd','tbc','undefined','reg-xxxxxx')"
-_NO_NUMBER = "(-1,0,-999,-9999,999999,9999999)"
+_WORDS = "('', '-', '--', '?', 'n/a', 'na', '#n/a', 'nan', 'null', 'none', 'nil', 'unknown', 'not provided', 'not available', 'not known', 'missing', 'pending', 'tbd', 'tbc', 'undefined')"
 
 
-def _text(c: str) -> str:
-    return f"coalesce(lower(trim({c})) NOT IN {_NO_VALUE}, FALSE)"
+def _cells(table_name: str, column: str, ok: str) -> str:
+    return f"SELECT '{table_name}' AS table_name, record_id, entity_key, '{column}' AS field_name, coalesce({ok}, FALSE) AS ok FROM {table_name}"
 
 
-def _cells(table_name: str, column: str, ok: str) -> str:
-    return f"SELECT '{table_name}' AS table_name, record_id, entity_key, '{column}' AS field_name, {ok} AS ok FROM {table_name}"
+def _registered(table_name: str) -> str:
+    """A registration number that isn't a word and that no crowd of vendors shares, taken from the table itself."""
+    v = "lower(trim(registration_number))"
+    crowd = f"SELECT {v} FROM {table_name} WHERE registration_number IS NOT NULL GROUP BY 1 HAVING count(DISTINCT entity_key) >= greatest(20, 0.01 * (SELECT count(DISTINCT entity_key) FROM {table_name}))"
+    return f"{v} NOT IN {_WORDS} AND {v} NOT IN ({crowd}) AND NOT regexp_full_match(registration_number, 'REG-(X+|0+)')"
 
 
 def _profile(column: str, kind: str) -> str:
@@ -69,11 +71,11 @@ def _profile(column: str, kind: str) -> str:
 SQL = {
     "p1_found": "WITH c AS ("
     + " UNION ALL ".join((
-        _cells("procurement_export_batch1", "employee_count", f"coalesce(employee_count NOT IN {_NO_NUMBER}, FALSE)"),
-        _cells("procurement_export_batch1", "region_code", f"coalesce(NOT isnan(region_code) AND region_code NOT IN {_NO_NUMBER}, FALSE)"),
-        _cells("procurement_export_batch1", "compliance_flag", _text("compliance_flag")),
-        _cells("procurement_export_batch1", "registration_number", _text("registration_number")),
-        _cells("finance_extract", "registration_number", _text("registration_number")),
+        _cells("procurement_export_batch1", "employee_count", "employee_count > 0 AND employee_count < 999999"),
+        _cells("procurement_export_batch1", "region_code", "region_code > 0 AND NOT isnan(region_code)"),
+        _cells("procurement_export_batch1", "compliance_flag", f"lower(trim(compliance_flag)) NOT IN {_WORDS}"),
+        _cells("procurement_export_batch1", "registration_number", _registered("procurement_export_batch1")),
+        _cells("finance_extract", "registration_number", _registered("finance_extract")),
     ))
     + ") SELECT table_name, record_id, field_name FROM c WHERE NOT ok AND (table_name, entity_key, field_name) IN (SELECT (table_name, entity_key, field_name) FROM c WHERE ok)",
     "p7_profile": " UNION ALL ".join(
