@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-import json
-import re
+import time
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -11,7 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gristmill import params
-from gristmill.functions.text import mentions
+from gristmill.functions.text import json_in, mentions
+from gristmill.sources.tables import cut
 
 #: Phrases of the deterministic backend.
 UNCAPPED, CAPPED, DEFERRED = r"(?i)without any upper bound|no ceiling applies|not be limited|unlimited", r"(?i)up to [A-Z]{3} [0-9]|may reach [0-9.]+ percent|rises to [A-Z]{3} [0-9]|shall not exceed", r"(?i)leave the amount of the ceiling open|to be determined|subject to further negotiation"
@@ -49,54 +49,65 @@ def gate(df: DataFrame, threshold: float = params.THRESHOLD) -> DataFrame:
     return df.withColumn("reason", F.when(low & F.coalesce("negation_detected", F.lit(False)), "negation_ambiguous").when(low, "low_confidence")).withColumn("extraction_method", F.when(low, "human_review").otherwise(F.col("extraction_method")))
 
 
-def salvage(answer: str) -> dict:
-    """The object from the first { to the last } of a model's answer."""
-    m = re.search(r"\{.*\}", answer, re.S)
-    if not m:
-        raise ValueError("no object in the answer")
-    return json.loads(m.group())
+RESULT = "liability_cap_status string, confidence double, evidence_span string"
+CALL = "answer string, latency_ms long, input_tokens long, output_tokens long, error string"
+#: What a backend gives for a prompt: the answer, or the answer with the tokens it read and wrote.
+Backend = Callable[[str], "str | tuple[str, int, int]"]
 
 
-ANSWER = "liability_cap_status string, confidence double, evidence_span string, extraction_pass int, error string"
+def call_model(df: DataFrame, prompt: str, backend: Backend, number: int = 1) -> DataFrame:
+    """df with the fields of RESULT and CALL and extraction_pass, from a model backend called once a row in tasks.
 
-
-def call_model(df: DataFrame, text: str, answer: Callable[[str], str], number: int = 1) -> DataFrame:
-    """df with the fields of ANSWER from a model backend: a picklable function from prompt to answer, called once a row.
-
-    A row whose call or answer fails has its error as text and nulls; others go on.
+    The answer's object, whatever stands around it, is read on the JVM. A row whose call fails, or whose answer has no
+    object with a status and a confidence, has that as its error and nulls; others go on. A null prompt is an error too.
     """
-    names = [c.split()[0] for c in ANSWER.split(", ")]
+    kept = df.drop(*(c.split()[0] for c in f"{RESULT}, {CALL}".split(", ")), "extraction_pass")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             rows = []
-            for t in pdf[text]:
+            for asked in pdf[prompt]:
+                began = time.perf_counter()
                 try:
-                    a = salvage(answer(t))
-                    rows.append((str(a["liability_cap_status"]), float(a["confidence"]), str(a.get("evidence_span") or ""), number, None))
+                    got = backend(asked)
+                    text, *used = got if isinstance(got, tuple) else (got, None, None)
+                    rows.append((text, *used, None))
                 except Exception as e:  # noqa: BLE001: any failure is the row's own
-                    rows.append((None, None, None, number, f"{type(e).__name__}: {e}"))
-            yield pd.concat([pdf.reset_index(drop=True), pd.DataFrame(rows, columns=names)], axis=1)
-
-    kept = df.drop(*names)
-    return kept.mapInPandas(run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema) + ", " + ANSWER)
-
+                    rows.append((None, None, None, f"{type(e).__name__}: {e}"))
+                rows[-1] = (rows[-1][0], int((time.perf_counter() - began) * 1000), *rows[-1][1:])
+            made = pd.DataFrame(rows, columns=[c.split()[0] for c in CALL.split(", ")]).astype({c: "Int64" for c in ("latency_ms", "input_tokens", "output_tokens")})
+            yield pd.concat([pdf.reset_index(drop=True), made], axis=1)
+
+    called = kept.mapInPandas(run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema) + ", " + CALL)
+    read = called.withColumn("__r", F.from_json(json_in(F.col("answer")), RESULT))
+    good = F.col("__r.liability_cap_status").isNotNull() & F.col("__r.confidence").isNotNull()
+    error = F.when(F.col("error").isNotNull(), F.col("error")).when(json_in(F.col("answer")).isNull(), "ValueError: no object in the answer").when(~good, "ValueError: no status and confidence in the answer")
+    fields = [F.when(good, F.col(f"__r.{c}")).alias(c) for c in ("liability_cap_status", "confidence")] + [F.when(good, F.coalesce("__r.evidence_span", F.lit(""))).alias("evidence_span")]
+    return read.select(*kept.columns, *fields, F.lit(number).alias("extraction_pass"), "answer", "latency_ms", "input_tokens", "output_tokens", error.alias("error"))
+
+
+def extract(df: DataFrame, prompt: str, first: Backend, second: Backend, verify: str | None = None) -> DataFrame:
+    """One call a row, and a second that replaces it where the first was unsure or hedged; with `verify`, the column of the
+    second prompt. Between them the rows are kept, so no model is asked twice for one pass.
+    """
+    done = cut(call_model(df, prompt, first))
+    unsure = F.coalesce(needs_verify(F.col("confidence"), F.col("evidence_span")), F.lit(False))
+    return done.where(~unsure).unionByName(call_model(done.where(unsure), verify or prompt, second, 2))
 
-def extract(df: DataFrame, text: str, first: Callable[[str], str], second: Callable[[str], str]) -> DataFrame:
-    """One call a row, and a second that replaces it where the first was unsure or hedged. Between them the rows are kept, so no model is asked twice for one pass."""
-    from gristmill.sources.tables import cut
 
-    done = cut(call_model(df, text, first))
-    unsure = F.coalesce(needs_verify(F.col("confidence"), F.col("evidence_span")), F.lit(False))
-    return done.where(~unsure).unionByName(call_model(done.where(unsure), text, second, 2))
+#: Templates of both passes; {text} stands for the section.
+FIRST = "Read the section below. Answer with one JSON object of liability_cap_status (capped, uncapped or unknown), confidence (0 to 1) and evidence_span (the words that decide).\n\n{text}"
+VERIFY = "An earlier reading of the section below was unsure. Look for negations, exceptions and terms that are left open, and whose liability is meant. Answer with one JSON object of liability_cap_status (capped, uncapped or unknown), confidence (0 to 1) and evidence_span.\n\n{text}"
 
 
-def prompts(df: DataFrame, template: str, text: str) -> DataFrame:
-    """df with `prompt`: the template with the section's text for its one %s."""
-    return df.withColumn("prompt", F.format_string(template, F.col(text)))
+def prompts(df: DataFrame, template: str, text: str, name: str = "prompt") -> DataFrame:
+    """df with the column `name`: the template with the section's text in the place of {text}; null text gives null."""
+    before, after = template.split("{text}")
+    return df.withColumn(name, F.concat(F.lit(before), F.col(text), F.lit(after)))
 
 
 def audit_rows(answers: DataFrame, model: str) -> DataFrame:
-    """A row for the audit table of each call: file_id, model, prompt, response (the parsed answer as JSON, the error if there was one)."""
+    """A row for the audit table of each call: id, file_id, model, prompt, response (the parsed answer as JSON, the error if there was one), latency_ms, input_tokens, output_tokens, created_at."""
     response = F.coalesce("error", F.to_json(F.struct("liability_cap_status", "confidence", "evidence_span")))
-    return answers.select("file_id", F.lit(model).alias("model"), "prompt", response.alias("response"), F.sha2(F.concat_ws("\u0001", "file_id", F.lit(model), "prompt"), 256).alias("id"))
+    key = F.sha2(F.concat_ws("\u0001", "file_id", F.lit(model), "prompt", F.col("extraction_pass").cast("string")), 256)
+    return answers.select(key.alias("id"), "file_id", F.lit(model).alias("model"), "prompt", response.alias("response"), "latency_ms", "input_tokens", "output_tokens", F.current_timestamp().cast("timestamp_ntz").alias("created_at"))

@@ -41,14 +41,15 @@ def leaders(keys: DataFrame) -> DataFrame:
     return state.join(followers, "key", "left").select("key", F.when(F.col("leads"), F.col("key")).otherwise(F.col("leader")).alias("canonical"))
 
 
-def golden_fields(obs: DataFrame) -> DataFrame:
-    """canonical, field_name, value, confidence, extraction_method, reason, merged_keys. obs: key, field_name, value, confidence, extraction_method, reason, seq.
+def golden_fields(obs: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
+    """canonical, field_name, value, confidence, extraction_method, reason, the columns of `carry`, merged_keys. obs: key, field_name, value, confidence, extraction_method, reason, seq and `carry`.
 
-    The most confident observation wins, of equals the earliest. Rows without a key are left out.
+    The most confident observation wins, of equals the earliest. Rows without a key are left out. Observations are kept
+    between finding the keys' leaders and merging, so that they are made once.
     """
-    rows = obs.where("key is not null")
+    rows = cut(obs.where("key is not null"))
     map_ = leaders(rows.groupBy("key").agg(F.min("seq").alias("first")))
     best = rows.join(map_, "key").groupBy("canonical", "field_name").agg(
-        F.min_by(F.struct("value", "confidence", "extraction_method", "reason"), F.struct(-F.col("confidence"), "seq")).alias("b"), F.array_sort(F.collect_set("key")).alias("merged_keys")
+        F.min_by(F.struct("value", "confidence", "extraction_method", "reason", *carry), F.struct(-F.col("confidence"), "seq")).alias("b"), F.array_sort(F.collect_set("key")).alias("merged_keys")
     )
     return best.select("canonical", "field_name", "b.*", "merged_keys")

@@ -18,6 +18,17 @@ def payloads(queue: DataFrame) -> DataFrame:
     return queue.select("field_id", summary.alias("summary"), F.to_json(F.struct("field_name", "value", "entity_key")).alias("message"))
 
 
+def messages(pending: DataFrame) -> DataFrame:
+    """review_id, summary, description of open reviews: one line, and five with the file's name, entity, field, value and reason. Nulls stand as None."""
+    def shown(c: str) -> Column:
+        return F.coalesce(F.col(c).cast("string"), F.lit("None"))
+
+    summary = F.concat(F.lit("HITL review: "), shown("field_name"), F.lit("="), quoted(F.col("value")), F.lit(" on "), shown("entity_key"), F.lit(" ("), shown("reason"), F.lit(")"))
+    name = F.coalesce(F.regexp_extract("source_uri", r"([^/]*)$", 1), F.lit("None"))
+    description = F.concat(F.lit("File: "), name, F.lit("\nEntity: "), shown("entity_key"), F.lit("\nField: "), shown("field_name"), F.lit("\nValue: "), shown("value"), F.lit("\nReason: "), shown("reason"))
+    return pending.select("review_id", summary.alias("summary"), description.alias("description"))
+
+
 def deliver(df: DataFrame, sink: Callable[[list[dict]], None], enabled: bool = False) -> None:
     """Hands each partition's payloads to `sink` once, if enabled; a failing sink is reported and stops nothing."""
     if not enabled:

@@ -13,6 +13,12 @@ def usage(calls: DataFrame, model: str, tokens: str, latency: str) -> DataFrame:
     ).select(F.when(F.col("g") == 1, "TOTAL").otherwise(F.col(model)).alias("model"), "calls", "tokens", F.round("avg_latency", 6).alias("avg_latency"))
 
 
+def quality_lines(counts: DataFrame) -> DataFrame:
+    """extraction_method, line: `   method:     n  (12.3%)` of each method's count n, its share of all with one decimal."""
+    total = counts.agg(F.sum("n").alias("all"))  # one row
+    return counts.crossJoin(F.broadcast(total)).select("extraction_method", F.format_string("%14s: %5d  (%.1f%%)", "extraction_method", "n", F.col("n") * 100.0 / F.col("all")).alias("line"))
+
+
 def evaluation(pairs: DataFrame) -> DataFrame:
     """class, tp, fp, fn, precision, recall, accuracy of (expected, predicted) pairs: classes are those that occur on either side; no denominator gives null."""
     n = pairs.groupBy("expected", "predicted").agg(F.count("*").alias("n"))

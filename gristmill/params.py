@@ -20,8 +20,15 @@ HEADINGS = ("recitals", "indemnification", "limitation of liability", "affiliate
 INDEMNITY_TERMS = ("indemnify", "indemnification", "hold harmless")
 INDEMNITY_SECTIONS, LIABILITY_SECTIONS = ("indemnification", "recitals", "unstructured"), ("limitation_of_liability", "unstructured")
 HEDGES = ("may", "possibly", "unclear", "subject to further negotiation", "to be determined", "tbd")
-#: Patterns of personal details, in the order in which they are replaced; ASCII classes, so that all engines agree.
+#: Patterns of personal details, in the order in which they are replaced.
 REDACTIONS = (
-    ("SSN", r"[0-9]{3}-[0-9]{2}-[0-9]{4}"), ("PHONE", r"\(?[0-9]{3}\)?[-. ][0-9]{3}[-. ][0-9]{4}"), ("EIN", r"[0-9]{2}-[0-9]{7}"),
-    ("EMAIL", r"[A-Za-z0-9][A-Za-z0-9_.+-]*@[A-Za-z0-9_-]+\.[A-Za-z0-9_.-]*[A-Za-z0-9_]"),
+    ("SSN", r"(?U)\b\d{3}-\d{2}-\d{4}\b"), ("PHONE", r"(?U)\b\(?\d{3}\)?[-.\s]\d{3}[-.\s]\d{4}\b"), ("EIN", r"(?iU)\bEIN[:\s]*\d{2}-\d{7}\b"), ("EMAIL", r"(?U)\b[\w.+-]+@[\w-]+\.[\w.-]+\b"),
 )
+
+
+def setting(spark, name: str, default):
+    """A parameter of this engine from the session: `spark.gristmill.<name>` in the type of its default."""
+    given = spark.conf.get(f"spark.gristmill.{name}", None)
+    if given is None:
+        return default
+    return given.lower() in {"true", "1", "yes"} if isinstance(default, bool) else type(default)(given)

@@ -195,6 +195,34 @@ def f08_observations(spark: SparkSession, d: str) -> DataFrame:
     return _observations(spark, d).groupBy("source", "field_name", "extraction_method").agg(F.count("*").alias("n"))
 
 
+def _values_sql() -> str:
+    """CTEs; the last, `vals`, has a row for each record and data column, as observations gives them."""
+    ctes, rows = [], []
+    for i, (t, cols) in enumerate(SOURCES.items()):
+        for c in cols:
+            n = f"v_{t}_{c}"
+            ctes.append(_backfill_sql(t, c, n))
+            fill = f"(SELECT avg({c}::DOUBLE)::VARCHAR FROM {_src(t)})" if c in NUMERIC else f"coalesce((SELECT {c} FROM {_src(t)} WHERE {c} IS NOT NULL GROUP BY {c} ORDER BY count(*) DESC, {c} LIMIT 1), 'unknown')"
+            rows.append(
+                f"SELECT '{t}' AS source, {i} AS s, s.record_id AS row, s.entity_key, '{c}' AS field_name, {_as_text(t, f's.{c}')} AS own, k.missingness_class AS cls, CASE k.missingness_class WHEN 'MCAR' THEN {fill} WHEN 'MAR' THEN b.value END AS fill "
+                f"FROM {_src(t)} s JOIN classes k ON k.table_name = '{t}' AND k.column_name = '{c}' LEFT JOIN {n} b ON s.record_id = b.record_id"
+            )
+    return f"""{_classes_sql()}, {', '.join(ctes)}, parts AS ({' UNION ALL '.join(rows)}), vals AS (
+      SELECT source, s, row, entity_key, field_name, coalesce(own, fill) AS value, CASE WHEN own IS NOT NULL THEN 1.0 WHEN fill IS NULL THEN 0.0 WHEN cls = 'MCAR' THEN 0.9 ELSE 0.8 END::DOUBLE AS confidence,
+        CASE WHEN own IS NOT NULL THEN 'direct' WHEN fill IS NULL THEN 'human_review' WHEN cls = 'MCAR' THEN 'imputed' ELSE 'backfilled' END AS extraction_method,
+        CASE WHEN own IS NULL AND fill IS NULL THEN CASE WHEN cls = 'MNAR' THEN 'mnar_suspected' ELSE 'unresolved_backfill' END END AS reason FROM parts)"""
+
+
+@query(f"WITH {_values_sql()} SELECT source, row, entity_key, field_name, value, confidence, extraction_method, reason FROM vals")
+def f08_values(spark: SparkSession, d: str) -> DataFrame:
+    return _observations(spark, d)
+
+
+@query(f"WITH {_values_sql()} SELECT extraction_method, printf('%14s: %5d  (%.1f%%)', extraction_method, count(*), count(*) * 100.0::DOUBLE / sum(count(*)) OVER ()) AS line FROM vals GROUP BY extraction_method")
+def k14_quality_lines(spark: SparkSession, d: str) -> DataFrame:
+    return reports.quality_lines(_observations(spark, d).groupBy("extraction_method").agg(F.count("*").alias("n")))
+
+
 @query(f"WITH {_observations_sql()} SELECT extraction_method, count(*) AS n, round(count(*)::DOUBLE / sum(count(*)) OVER (), 4) AS share FROM obs GROUP BY extraction_method")
 def a03_method_counts(spark: SparkSession, d: str) -> DataFrame:
     return resolve.method_counts(_observations(spark, d))
@@ -213,12 +241,25 @@ def d01_near_keys(spark: SparkSession, d: str) -> DataFrame:
     return golden.near_keys(_keys(spark, d))
 
 
-@query()
+_LED = "list_filter(f.leads, lambda x: levenshtein(x.c, n.c) <= 1)"
+_LEADERS = f"""
+all_keys AS ({" UNION ALL ".join(f"SELECT entity_key AS key, {i}::BIGINT * 1099511627776 + record_id AS first FROM {t}" for i, t in enumerate(SOURCES))}),
+numbered AS (SELECT key, replace(key, chr(160), '~') AS c, row_number() OVER (ORDER BY min(first)) AS rn FROM all_keys WHERE key IS NOT NULL GROUP BY key),
+folded AS (
+  SELECT 0::BIGINT AS rn, NULL::VARCHAR AS key, NULL::VARCHAR AS canonical, []::STRUCT(k VARCHAR, c VARCHAR)[] AS leads
+  UNION ALL SELECT n.rn, n.key, coalesce({_LED}[1].k, n.key), CASE WHEN len({_LED}) > 0 THEN f.leads ELSE list_append(f.leads, {{'k': n.key, 'c': n.c}}) END FROM folded f JOIN numbered n ON n.rn = f.rn + 1
+)"""
+
+
+@query(f"WITH RECURSIVE {_LEADERS} SELECT key, canonical FROM folded WHERE rn > 0")
 def d03_golden_keys(spark: SparkSession, d: str) -> DataFrame:
     return golden.leaders(_keys(spark, d))
 
 
-@query()
+@query(f"""WITH RECURSIVE {_LEADERS}, {_values_sql()}, ranked AS (
+  SELECT canonical, v.*, row_number() OVER (PARTITION BY canonical, field_name ORDER BY confidence DESC, s, row) AS rn FROM vals v JOIN folded f ON v.entity_key = f.key
+), merged AS (SELECT canonical, field_name, list_sort(list(DISTINCT entity_key)) AS merged_keys FROM ranked GROUP BY ALL)
+SELECT r.canonical, r.field_name, value, confidence, extraction_method, reason, merged_keys FROM ranked r JOIN merged m ON r.canonical = m.canonical AND r.field_name = m.field_name WHERE rn = 1""")
 def a15_golden_fields(spark: SparkSession, d: str) -> DataFrame:
     order = F.create_map(*(x for i, t in enumerate(SOURCES) for x in (F.lit(t), F.lit(i))))
     obs = _observations(spark, d).withColumn("seq", order[F.col("source")] * F.lit(1 << 40) + F.col("row")).withColumnRenamed("entity_key", "key")
@@ -238,19 +279,23 @@ def s03_text_checksums(spark: SparkSession, d: str) -> DataFrame:
 @query()
 def c06_schema_versions(spark: SparkSession, d: str) -> DataFrame:
     f = drift.files(table(spark, d, "raw_line"), table(spark, d, "file_registry")).where("feed is not null")
-    return registry.versions(f.select(F.col("feed").alias("source"), F.struct(F.col("received_at").cast("string"), "file_id").cast("string").alias("seq"), "file_id", F.col("headers").alias("columns")))
+    seq = F.concat_ws(" ", F.coalesce(F.date_format("received_at", "yyyy-MM-dd HH:mm:ss.SSSSSS"), F.lit("")), "file_id")
+    return registry.versions(f.select(F.col("feed").alias("source"), seq.alias("seq"), "file_id", F.col("headers").alias("columns"))).select("source", "file_id", "version", "renamed", "added")
 
 
 # ---- texts ----------------------------------------------------------------------------------------------------------
+_DETAILS = (("SSN", r"\b\d{3}-\d{2}-\d{4}\b"), ("PHONE", r"\b\(?\d{3}\)?[-.\s]\d{3}[-.\s]\d{4}\b"), ("EIN", r"(?i)\bEIN[:\s]*\d{2}-\d{7}\b"), ("EMAIL", r"\b[\w.+-]+@[\w-]+\.[\w.-]+\b"))
+
+
 def _redact_sql(c: str) -> str:
-    for label, p in params.REDACTIONS:
+    for label, p in _DETAILS:
         c = f"regexp_replace({c}, '{p}', '[REDACTED_{label}]', 'g')"
     return c
 
 
 def _count_sql(c: str) -> str:
     parts = []
-    for label, p in params.REDACTIONS:
+    for label, p in _DETAILS:
         parts.append(f"len(regexp_extract_all({c}, '{p}'))")
         c = f"regexp_replace({c}, '{p}', '[REDACTED_{label}]', 'g')"
     return " + ".join(parts)
@@ -293,7 +338,16 @@ def t02_sections(spark: SparkSession, d: str) -> DataFrame:
     return s.select("doc_id", "s.section_name", F.md5("s.text").alias("body_md5"))
 
 
-@query()
+_NAMED = f"""
+named AS (
+  SELECT doc_id, i, replace(lower(h[i]), ' ', '_') AS section_name, regexp_replace(p[i + 1], '^[ \\t\\n\\r\\f\\v]+|[ \\t\\n\\r\\f\\v]+$', '', 'g') AS body
+  FROM (SELECT doc_id, regexp_extract_all(text, '{_HEAD}', 1) AS h, regexp_split_to_array(text, '{_HEAD}') AS p FROM documents WHERE text IS NOT NULL), unnest(range(1, len(h) + 1)) r(i)
+), per_doc AS (
+  SELECT doc_id, CASE WHEN NOT regexp_matches(text, '{_HEAD}') THEN ['unstructured'] ELSE coalesce((SELECT list(section_name ORDER BY i) FROM named n WHERE n.doc_id = d.doc_id AND body <> ''), []) END AS names FROM documents d WHERE text IS NOT NULL
+), chosen AS (SELECT doc_id, CASE WHEN list_has_any(names, ['limitation_of_liability', 'unstructured']) THEN list_filter(names, lambda x: x IN ('limitation_of_liability', 'unstructured')) ELSE names END AS s FROM per_doc)"""
+
+
+@query(f"WITH {_NAMED} SELECT doc_id, len(s)::INTEGER AS n_relevant, s[1] AS first_section, CASE WHEN len(s) = 0 THEN 'no section' END AS error FROM chosen")
 def f11_relevant_sections(spark: SparkSession, d: str) -> DataFrame:
     s = table(spark, d, "documents").where("text is not null").select("doc_id", T.relevant(T.sections(F.col("text")), params.LIABILITY_SECTIONS).alias("s"))
     first = F.get("s", F.lit(0))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,13 +17,15 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and intermediate tables.
 
-    The cluster names it in `spark.checkpoint.dir`. Only where that is unset, as in local tests, a new temporary
-    folder is taken.
+    The cluster names it in `spark.checkpoint.dir`. Only where that is unset and the master is local, as in tests, a new
+    temporary folder is taken; on a cluster each machine would write to its own disk, so it is an error there.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     known = spark.sparkContext.getCheckpointDir()
     if known:
         return known
+    if not folder and not re.fullmatch(r"local(?:\[.*\])?", spark.sparkContext.master):
+        raise ValueError("spark.checkpoint.dir must name a shared folder")
     folder = folder or "file://" + tempfile.mkdtemp(prefix="spark-gristmill-", dir=os.environ.get("TMPDIR", "/tmp"))
     spark.sparkContext.setCheckpointDir(folder)
     return spark.sparkContext.getCheckpointDir()

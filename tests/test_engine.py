@@ -1,5 +1,6 @@
 """Operators of the engine, against values worked out by hand or by brute force."""
 
+import difflib
 import itertools
 import json
 import random
@@ -10,8 +11,8 @@ from pyspark.sql import functions as F
 from gristmill import params
 from gristmill.functions import text as T
 from gristmill.functions.stats import chi_squared_tail, t_two_sided
-from gristmill.operators import extract, golden, missingness, notify, profile, reports, resolve, store
-from gristmill.operators.registry import Registry
+from gristmill.operators import extract, golden, missingness, notify, profile, registry, reports, resolve, store
+from gristmill.plans import pipelines
 from gristmill.sources import files
 from gristmill.streaming.ingest import ingest_stream
 
@@ -101,12 +102,43 @@ def test_golden_fields_prefer_confidence_then_order(spark):
     assert set(got) == {"VENAAA111", "VENZZZ999"} and got["VENAAA111"].value == "clear" and got["VENAAA111"].merged_keys == ["VENAAA111", "VENAAA112"]
 
 
-def test_registry():
-    r = Registry()
-    assert r.check("s", ["entity_key", "registration_number"]) == (1, {}, [])
-    assert r.check("s", ["entity_key", "registration_number"]) == (1, {}, [])
-    assert r.check("s", ["entity_key", "registration_no"]) == (2, {"registration_no": "registration_number"}, [])
-    assert r.check("s", ["entity_key", "registration_number", "contract_tier"]) == (3, {}, ["contract_tier"])
+def seen(spark, headers, state=None):
+    rows_ = [(src, f"{i:04d}", f"f{i}", cols) for i, (src, cols) in enumerate(headers)]
+    return registry.versions(spark.createDataFrame(rows_, "source string, seq string, file_id string, columns array<string>"), state)
+
+
+def test_registry(spark, tmp_path):
+    first = [("s", ["entity_key", "registration_number"]), ("s", ["entity_key", "registration_number"]), ("s", ["entity_key", "registration_no"]), ("s", ["entity_key", "registration_number", "contract_tier"]), ("t", ["a"])]
+    found = seen(spark, first)
+    got = rows(found, "file_id", "version", "renamed", "added")
+    assert got == [("f0", 1, "", ""), ("f1", 1, "", ""), ("f2", 2, "registration_no=registration_number", ""), ("f3", 3, "", "contract_tier"), ("f4", 1, "", "")]
+    store.create(spark, str(tmp_path))
+    registry.save(found, str(tmp_path))
+    later = seen(spark, [("s", ["entity_key", "registration_number", "contract_tier"]), ("s", ["entity_key", "registration_number", "contract_tier", "due"]), ("u", ["b"])], registry.load(spark, str(tmp_path)))
+    assert rows(later, "file_id", "version", "added") == [("f0", 3, ""), ("f1", 4, "due"), ("f2", 1, "")]
+    registry.save(later, str(tmp_path))
+    assert rows(registry.load(spark, str(tmp_path)), "source", "version") == [("s", 4), ("t", 1), ("u", 1)]
+    assert registry.versions(spark.createDataFrame([], "source string, seq string, file_id string, columns array<string>")).count() == 0
+
+
+def test_registry_equals_a_walk_over_all_files(spark):
+    rng, names = random.Random(4), ["amount", "amounts", "amount_eur", "vendor", "vendors", "vendor_id", "tier", "tiers", "day"]
+    headers = [(rng.choice("ab"), rng.sample(names, rng.randint(2, 5))) for _ in range(60)]
+    known, want = {}, []
+    for i, (src, cols) in enumerate(headers):
+        if src not in known:
+            known[src] = [1, list(cols)]
+            want.append((f"f{i}", 1, "", ""))
+            continue
+        near = {}
+        for o in known[src][1]:
+            if o not in cols and (n := difflib.get_close_matches(o, cols, 1, 0.75)):
+                near[n[0]] = o
+        new = [c for c in cols if c not in known[src][1] and c not in near]
+        known[src][0] += bool(near or new)
+        known[src][1] += new
+        want.append((f"f{i}", known[src][0], ",".join(f"{n}={o}" for n, o in sorted(near.items())), ",".join(new)))
+    assert rows(seen(spark, headers), "file_id", "version", "renamed", "added") == sorted(want)
 
 
 def test_text_functions(spark):
@@ -182,6 +214,68 @@ def test_pages_and_audit(spark, tmp_path):
     assert [r.error for r in rows.where("error is not null").collect()] == ["ValueError: broken"]
     doc = pages.documents(rows).first()
     assert (doc.text, doc.mean_confidence, doc.n_pages, doc.entity_key) == ("A page with plenty of its own text.\n\nread words", 0.975, 2, "contract_1")
-    asked = extract.prompts(spark.createDataFrame([("f", "body")], "file_id string, text string"), "Read: %s", "text")
-    audit = extract.audit_rows(extract.call_model(asked, "prompt", lambda p: "nothing"), "m").first()
-    assert audit.prompt == "Read: body" and audit.response.startswith("ValueError")
+    asked = extract.prompts(spark.createDataFrame([("f", "body")], "file_id string, text string"), "Read: {text}", "text")
+    audit = extract.audit_rows(extract.call_model(asked, "prompt", lambda p: ("nothing", 7, 2)), "m").first()
+    assert audit.prompt == "Read: body" and audit.response.startswith("ValueError") and (audit.input_tokens, audit.output_tokens) == (7, 2) and audit.latency_ms >= 0 and audit.created_at
+
+
+def test_reviews_change_fields(spark):
+    fields = spark.createDataFrame([(i, "file", "E", "f", "old", 0.2, "human_review", False, None) for i in "abcd"], "id string, file_id string, entity_key string, field_name string, value string, confidence double, extraction_method string, negation_detected boolean, extracted_at timestamp_ntz").withColumn("reason", F.lit("low_confidence"))
+    reviews = store.reviews_of(fields)
+    ids = dict(rows(reviews, "extracted_field_id", "id"))
+    made = spark.createDataFrame([(ids["a"], "corrected", "new", "me", 2), (ids["a"], "accepted", None, "me", 1), (ids["b"], "accepted", None, "me", 1), (ids["c"], "rejected", "x", "me", 1), ("nobody", "accepted", None, "me", 1)], "review_id string, resolution string, corrected_value string, reviewer_id string, reviewed_at int")
+    done = store.decided(reviews, made.withColumn("reviewed_at", F.timestamp_seconds("reviewed_at")))
+    assert rows(store.resolved(fields.withColumn("extraction_method", F.lit("llm")), done), "id", "value", "confidence", "extraction_method") == [("a", "new", 1.0, "human_review"), ("b", "old", 1.0, "human_review"), ("c", "old", 0.2, "human_review"), ("d", "old", 0.2, "llm")]
+    open_ = store.pending(done, fields, spark.createDataFrame([("file", "x/y.csv")], "id string, source_uri string"))
+    assert [(r.review_id, r.reason) for r in open_.collect()] == [(ids["d"], "low_confidence")]
+    m = notify.messages(open_).first()
+    assert m.summary == "HITL review: f='old' on E (low_confidence)" and m.description == "File: y.csv\nEntity: E\nField: f\nValue: old\nReason: low_confidence"
+
+
+def test_structured_pipeline(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    rng = random.Random(3)
+    keys = [f"VEN{i:02d}{i:02d}{i:02d}" for i in range(60)]
+    small = {k: i < 12 for i, k in enumerate(keys)}
+    lines = [f"{k},north,{rng.randint(1, 4) if small[k] else rng.randint(20, 500)},{'' if small[k] else f'REG-{i:06d}'},{rng.choice(['clear', '']) },2026-01-01" for i, k in enumerate(keys)]
+    (tmp_path / "in" / "b.csv").write_text("entity_key,source_system,employee_count,registration_number,compliance_flag,updated_at\n" + "\n".join(lines) + "\n")
+    (tmp_path / "in" / "a.csv").write_text("entity_key,source_system,registration_number,updated_at\n" + "\n".join(f"{k},finance,REG-9{i:05d},2026-02-01" for i, k in enumerate(keys[:6])) + "\n")
+    target = str(tmp_path / "store")
+    store.create(spark, target)
+    lines = {r.extraction_method: r.line for r in pipelines.structured(spark, str(tmp_path / "in"), target).collect()}
+    assert set(lines) == {"direct", "backfilled", "human_review"} and lines["backfilled"] == "    backfilled:     6  (3.2%)"
+    held = {t: spark.read.parquet(f"{target}/{t}") for t in store.TABLES}
+    assert rows(held["file_registry"], "source_system", "schema_version", "row_count", "ingest_status") == [("finance", 1, 6, "processed"), ("north", 1, 60, "processed")]
+    kinds = {(r.column_name, r.inferred_type, r.missingness_class) for r in held["column_profile"].collect()}
+    assert ("employee_count", "numeric", "NONE") in kinds and ("registration_number", "text", "MAR") in kinds and ("updated_at", "text", None) in kinds
+    by_method = dict(rows(held["extracted_field"].groupBy("extraction_method").count(), "extraction_method", "count"))
+    assert held["hitl_review"].count() == by_method["human_review"] > 0 and held["extracted_field"].count() == 180
+    assert {r.reason for r in held["hitl_review"].collect()} == {"mnar_suspected", "unresolved_backfill"}
+    assert pipelines.structured(spark, str(tmp_path / "in"), target) is None
+
+
+def test_contract_pipeline(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "c1.pdf").write_text("Recitals:\nA.B., 123-45-6789, shall hold harmless.\nLimitation of Liability:\nLiability shall not be limited.")
+    (tmp_path / "in" / "c2.pdf").write_text("Order details and nothing else that matters here.")
+    (tmp_path / "in" / "c3.pdf").write_text("!")
+    (tmp_path / "in" / "c4.pdf").write_text("Limitation of Liability:\nThe liability is of a sort unclear.")
+
+    def read(content):
+        if content == b"!":
+            raise ValueError("broken")
+        return [(content.decode(), [], [])]
+
+    def model(p):
+        sure = "not be limited" in p
+        return json.dumps({"liability_cap_status": "uncapped" if sure else "unknown", "confidence": 0.95 if sure else 0.4, "evidence_span": "shall not be limited" if sure else ""}), 10, 5
+
+    target = str(tmp_path / "store")
+    store.create(spark, target)
+    for again in (False, True):
+        got = {r.path.split("/")[-1]: r for r in pipelines.contracts(spark, str(tmp_path / "in"), target, read, model, model, "m").collect()}
+        assert set(got) == ({"c3.pdf"} if again else {"c1.pdf", "c2.pdf", "c3.pdf", "c4.pdf"}) and got["c3.pdf"].error == "ValueError: broken"
+        held = {t: spark.read.parquet(f"{target}/{t}") for t in store.TABLES}
+        assert rows(held["file_registry"], "ingest_status", "lexical_match", "page_count") == [("discarded_no_lexical_match", False, 1), ("processed", True, 1), ("processed", True, 1)]
+        assert rows(held["extracted_field"], "entity_key", "field_name", "value", "extraction_method") == [("c1", "indemnification_present", "true", "rule"), ("c1", "liability_cap_status", "uncapped", "llm"), ("c4", "indemnification_present", "false", "rule"), ("c4", "liability_cap_status", "unknown", "human_review")]
+        assert held["hitl_review"].count() == 1 and held["audit_log"].count() == 2 and held["section_chunk"].where("text like '%6789%'").count() == 0
