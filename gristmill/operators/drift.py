@@ -43,13 +43,20 @@ def files(lines: DataFrame, registry: DataFrame) -> DataFrame:
     return heads.join(known, "file_id", "left").withColumn("previous", F.when(F.col("feed").isNotNull(), F.lag("file_id").over(order)))
 
 
-def cells(lines: DataFrame, file_table: DataFrame) -> DataFrame:
-    """file_id, line_no, row_key, header, value: a row for each cell that holds a value. Cells beyond the header have none and are left to the rescue column."""
-    body = lines.where("line_no > 0 and content is not null").select("file_id", "line_no", F.split("content", ",", -1).alias("values"))
-    body = split_join(body, file_table.select("file_id", "headers"), "file_id", "inner")
-    body = body.withColumn("row_key", F.upper(F.regexp_replace(F.get(F.filter("values", lambda v: F.trim(v).rlike(KEY)), F.lit(0)), r"[^A-Za-z0-9]", "")))
-    body = body.select("file_id", "line_no", "row_key", F.explode(F.arrays_zip(F.col("headers").alias("header"), F.col("values").alias("value"))).alias("c"))
-    return body.select("file_id", "line_no", "row_key", "c.header", F.trim("c.value").alias("value")).where(F.col("header").isNotNull() & F.col("value").isNotNull() & ~spelled(F.col("value")).isin(*NO_VALUE))
+def as_written(c: Column, kind_of: str) -> Column:
+    """A typed value as a file would write it in that type's own form."""
+    return c if kind_of == "string" else c.cast("string")
+
+
+def cells(table: DataFrame, target: dict[str, str] | None = None) -> DataFrame:
+    """file_id, line_no, row_key, header, value: the cells that the lines of a table made by ingest had, as they were written. Cells beyond the header have none and stay in the rescue column."""
+    target = TARGET if target is None else target
+    rows = table.select("file_id", "line_no", *target, F.coalesce(F.from_json("_rescued", "map<string,string>"), F.create_map().cast("map<string,string>")).alias("__m"))
+    kept = F.array(*(F.struct(F.lit(n).alias("header"), F.when(~F.map_contains_key("__m", F.lit(n)), as_written(F.col(n), t)).alias("value")) for n, t in target.items()))
+    rest = F.transform(F.map_entries(F.map_filter("__m", lambda k, v: k != "_beyond")), lambda e: F.struct(e["key"].alias("header"), e["value"].alias("value")))
+    body = rows.select("file_id", "line_no", F.explode(F.array(F.filter(F.concat(kept, rest), lambda c: c["value"].isNotNull()))).alias("__c"))
+    key = F.regexp_replace(F.get(F.filter("__c", lambda c: c["value"].rlike(KEY)), F.lit(0))["value"], r"[^A-Za-z0-9]", "")
+    return body.select("file_id", "line_no", F.upper(key).alias("row_key"), F.explode("__c").alias("c")).select("file_id", "line_no", "row_key", "c.header", "c.value")
 
 
 def kind(v: Column) -> Column:
@@ -75,15 +82,23 @@ def column_types(cell_table: DataFrame) -> DataFrame:
 
 
 def changes(lines: DataFrame, registry: DataFrame) -> DataFrame:
+    """What changes_of finds in lines of files as they come."""
+    f = cut(files(lines, registry))
+    return changes_of(cut(ingest(lines, f)), f)
+
+
+def changes_of(table: DataFrame, f: DataFrame, target: dict[str, str] | None = None) -> DataFrame:
     """file_id, field_name, change_kind, was: each change of a file's columns against the feed's file before.
 
     change_kind is added, removed, renamed or retyped; was is the header before (renamed) or the type before (retyped). A
     removed and an added column are one renamed column if, over the vendors in both files, most values agree, or if both
     hold dates of about the same age; each column is in one pair at most, the best. Files without a known feed, and first
     files, have no changes. Moved columns are none. A column without any value has no type.
+
+    table: the files as ingest made them. Its typed columns and its rescue column together hold each cell as it was
+    written: unknown headers and cells out of type are what was rescued. f: as files gives it.
     """
-    f = cut(files(lines, registry))
-    all_cells = cut(cells(lines, f))
+    all_cells = cut(cells(table, target))
     types = cut(column_types(all_cells))
     pairs = f.where("previous is not null").select("file_id", "previous", "received_at", "headers")
     before = f.select(F.col("file_id").alias("previous"), F.col("headers").alias("old"), F.col("received_at").alias("old_received"))
@@ -159,18 +174,20 @@ def named(name: str):
 def ingest(lines: DataFrame, file_table: DataFrame, target: dict[str, str] = TARGET) -> DataFrame:
     """file_id, line_no, the target's columns and _rescued: one row for each line but headers.
 
-    _rescued is JSON of the cells whose header the target doesn't know or whose value doesn't cast, under `_beyond` those
-    without a header; null if there are none. Cells that stand for no value are null and not rescued. Of two columns of
-    one name the first counts.
+    _rescued is JSON of the cells whose header the target doesn't know, or whose value doesn't cast or isn't written in its
+    type's own form, so that nothing a file said is lost; under `_beyond` those without a header; null if there are none.
+    Cells that stand for no value are null and not rescued. Of two columns of one name the first counts.
     """
     body = lines.where("line_no > 0 and content is not null").select("file_id", "line_no", F.split("content", ",", -1).alias("__v"))
     body = split_join(body, file_table.select("file_id", F.col("headers").alias("__h")), "file_id", "left")
     zipped = F.filter(F.arrays_zip(F.coalesce("__h", F.array().cast("array<string>")).alias("h"), F.transform("__v", lambda v: F.trim(v)).alias("v")), lambda x: x["v"].isNotNull() & ~spelled(x["v"]).isin(*NO_VALUE))
     # explode(array(...)) keeps Catalyst from writing these arrays out again wherever they are used
     body = body.select("file_id", "line_no", F.explode(F.array(F.coalesce(zipped, F.array().cast("array<struct<h:string,v:string>>")))).alias("__c"))
-    typed = F.struct(*(enforced(F.get(F.transform(F.filter("__c", named(name)), lambda x: x["v"]), F.lit(0)), t).alias(name) for name, t in target.items()))
-    body = body.select("file_id", "line_no", "__c", F.explode(F.array(typed)).alias("__t"))
-    taken = F.array_compact(F.array(*(F.when(F.col("__t")[name].isNotNull(), F.lit(name)) for name in target)))
+    raw = F.struct(*(F.get(F.transform(F.filter("__c", named(name)), lambda x: x["v"]), F.lit(0)).alias(name) for name in target))
+    body = body.select("*", F.explode(F.array(raw)).alias("__w"))
+    typed = F.struct(*(enforced(F.col("__w")[name], t).alias(name) for name, t in target.items()))
+    body = body.select("*", F.explode(F.array(typed)).alias("__t"))
+    taken = F.array_compact(F.array(*(F.when(as_written(F.col("__t")[name], t) == F.col("__w")[name], F.lit(name)) for name, t in target.items())))
     body = body.select("file_id", "line_no", "__t", "__c", F.explode(F.array(taken)).alias("__taken"))
     left = F.transform(F.filter("__c", lambda x: x["h"].isNull() | ~F.array_contains("__taken", x["h"])), lambda x: F.struct(F.coalesce(x["h"], F.lit("_beyond")).alias("key"), x["v"].alias("value")))
     body = body.select("file_id", "line_no", "__t", F.explode(F.array(left)).alias("__left"))
@@ -179,29 +196,96 @@ def ingest(lines: DataFrame, file_table: DataFrame, target: dict[str, str] = TAR
     return body.select("file_id", "line_no", "__t.*", F.when(F.size("__left") > 0, F.to_json(F.map_from_arrays(keys, values))).alias("_rescued"))
 
 
+def from_table(df: DataFrame, target: dict[str, str] = TARGET, load: str = "file_id", row: str = "record_id") -> DataFrame:
+    """The rows of a table whose columns drifted, as ingest gives lines: file_id, line_no (its row number), the target's columns and _rescued.
+
+    Whole numbers of floating columns count as whole. Cells that stand for no value, and NaN, are null and not rescued.
+    """
+    types, texts = dict(df.dtypes), {}
+    for c in df.columns:
+        if c in {load, row}:
+            continue
+        v = F.col(c)
+        if types[c] in {"double", "float"}:
+            text = F.when((v == F.floor(v)) & (F.abs(v) < 1e15), v.cast("bigint").cast("string")).when(~F.isnan(v), v.cast("string"))
+        else:
+            text = F.trim(v.cast("string"))
+        texts[c] = F.when(~spelled(text).isin(*NO_VALUE), text)
+    rows = df.select(F.col(load).alias("file_id"), F.col(row).cast("bigint").alias("line_no"), F.explode(F.array(F.struct(*(t.alias(c) for c, t in texts.items())))).alias("__w"))
+    typed = F.struct(*((enforced(F.col("__w")[n], t) if n in texts else F.lit(None).cast(t)).alias(n) for n, t in target.items()))
+    rows = rows.select("*", F.explode(F.array(typed)).alias("__t"))
+    left = F.map_filter(F.create_map(*(x for c in texts for x in (F.lit(c), F.when(F.col("__t")[c].isNull(), F.col("__w")[c]) if c in target else F.col("__w")[c]))), lambda k, v: v.isNotNull())
+    return rows.select("file_id", "line_no", "__t.*", F.when(F.size(left) > 0, F.to_json(left)).alias("_rescued"))
+
+
+def table_changes(old: DataFrame, new: DataFrame, name: str, key: str = "entity_key") -> DataFrame:
+    """file_id (`name`), field_name, change_kind, was: the changes of a table's columns against an earlier table.
+
+    A column that is gone and a new one are one renamed column if most keys in both hold a common value, each in one pair
+    at most, the best. Values are summed up by key before they meet, so a hot key weighs no more than its values.
+    """
+    before, after = dict(old.dtypes), dict(new.dtypes)
+    gone, added = [c for c in old.columns if c not in after], [c for c in new.columns if c not in before]
+    kinds = {"bigint": "whole", "int": "whole", "double": "decimal", "float": "decimal", "date": "date", "boolean": "true_false"}
+    rows = [(name, c, "retyped", kinds.get(before[c], "text")) for c in after if c in before and kinds.get(before[c], "text") != kinds.get(after[c], "text")]
+    pairs: list[tuple[float, str, str]] = []
+    if gone and added:
+
+        def held(df: DataFrame, columns: list[str], as_: str) -> DataFrame:
+            cell = F.explode(F.array(*(F.struct(F.lit(c).alias(as_), spelled(F.col(c)).alias("v")) for c in columns))).alias("c")
+            return df.where(F.col(key).isNotNull()).select(F.col(key).alias("k"), cell).select("k", "c.*").where(F.col("v").isNotNull() & ~F.col("v").isin(*NO_VALUE)).distinct()
+
+        a, b = cut(held(old, gone, "o")), cut(held(new, added, "n"))
+        both = a.select("k", "o").distinct().join(b.select("k", "n").distinct(), "k").groupBy("o", "n").agg(F.count("*").alias("both"))
+        same = a.join(b, ["k", "v"]).select("k", "o", "n").distinct().groupBy("o", "n").agg(F.count("*").alias("same"))
+        found = both.join(same, ["o", "n"]).where(F.col("same") >= SAME * F.col("both")).collect()  # at most a row for each pair of columns
+        pairs = sorted(((r.same / r.both, r.o, r.n) for r in found), reverse=True)
+    renamed: dict[str, str] = {}
+    for _, o, n in pairs:
+        if n not in renamed and o not in renamed.values():
+            renamed[n] = o
+    rows += [(name, n, "renamed", o) for n, o in renamed.items()] + [(name, n, "added", None) for n in added if n not in renamed] + [(name, o, "removed", None) for o in gone if o not in renamed.values()]
+    return old.sparkSession.createDataFrame(rows, "file_id string, field_name string, change_kind string, was string")
+
+
 def replay(table: DataFrame, approved: DataFrame, target: dict[str, str] = TARGET, held: int = 10_000) -> DataFrame:
-    """`table` with rescued values of approved aliases put into their typed columns, where these are null; values put leave _rescued.
+    """`table` with rescued values of approved aliases put into their typed columns, where these are null. What stands in a typed column leaves _rescued.
 
-    `approved` (alias, field) is one row for each alias a person or rule approved; a schema has few, and more than `held` are an error.
+    `approved` (alias, field) is one row for each alias a person or rule approved; a schema has few, and more than `held`
+    raise an error instead of being left out.
     """
     pairs = approved.select("alias", "field").limit(held + 1).collect()
     if len(pairs) > held:
         raise ValueError(f"more than {held} aliases")
-    of = {name: sorted(a for a, f in pairs if f == name) for name in target}
-    of = {name: known for name, known in of.items() if known}
-    if not of:
-        return table
+    of = {name: [name, *sorted(a for a, f in pairs if f == name)] for name in target}
     # explode(array(...)) keeps Catalyst from writing these values out again wherever they are used
     out = table.select("*", F.explode(F.array(F.coalesce(F.from_json("_rescued", "map<string,string>"), F.create_map().cast("map<string,string>")))).alias("__m"))
-    new = F.struct(*(F.when(F.col(name).isNull(), enforced(F.coalesce(*(F.try_element_at("__m", F.lit(a)) for a in known)), target[name])).alias(name) for name, known in of.items()))
+    new = F.struct(*(F.coalesce(F.col(name), *(enforced(F.try_element_at("__m", F.lit(a)), target[name]) for a in known[1:])).alias(name) for name, known in of.items()))
     out = out.select("*", F.explode(F.array(new)).alias("__new"))
-    placed = F.flatten(F.array_compact(F.array(*(F.when(F.col("__new")[name].isNotNull(), F.array(*map(F.lit, known))) for name, known in of.items()))))
+    # an alias leaves where it gave the value, the column's own header where it has one
+    placed = F.flatten(F.array_compact(F.array(*(
+        F.when(F.col("__new")[name].isNotNull(), F.array(*(F.when(F.lit(a == name) | F.col(name).isNull(), F.lit(a)).otherwise(F.lit("")) for a in known))) for name, known in of.items()))))
     out = out.select("*", F.explode(F.array(placed)).alias("__placed"))
     rest = F.map_filter("__m", lambda k, v: ~F.array_contains("__placed", k))
-    out = out.withColumns({"_rescued": F.when(F.size(rest) > 0, F.to_json(rest)), **{name: F.coalesce(F.col(name), F.col("__new")[name]) for name in of}})
+    out = out.withColumns({"_rescued": F.when(F.size(rest) > 0, F.to_json(rest)), **{name: F.col("__new")[name] for name in of}})
     return out.drop("__m", "__new", "__placed")
 
 
-def consistent(lines: DataFrame, registry: DataFrame, target: dict[str, str] = TARGET) -> DataFrame:
-    """All lines of all files as one table of the target's columns, with renames found and replayed."""
-    return replay(ingest(lines, files(lines, registry), target), aliases(cut(changes(lines, registry)), target), target)
+def consistent(lines: DataFrame, registry: DataFrame, old: DataFrame, new: DataFrame, target: dict[str, str] = TARGET) -> DataFrame:
+    """table_name, file_id, line_no, the target's columns, _rescued: all lines of all files, and the rows of the tables `old` and `new`, as one table, with renames found and replayed."""
+    f = cut(files(lines, registry))
+    landed = cut(ingest(lines, f, target))
+    found = changes_of(landed, f, target).unionByName(table_changes(old, new, "procurement_export_batch2"))
+    parts = [landed.withColumn("line_no", F.col("line_no").cast("bigint")).select(F.lit("raw_line").alias("table_name"), "*")]
+    parts += [from_table(df, target).select(F.lit(name).alias("table_name"), "*") for df, name in ((old, "procurement_export_batch1"), (new, "procurement_export_batch2"))]
+    return replay(parts[0].unionByName(parts[1]).unionByName(parts[2]), aliases(cut(found), target), target)
+
+
+def version_report(report: DataFrame, f: DataFrame, registry: DataFrame) -> DataFrame:
+    """file_id, feed, stored_version, version, n_changes, agrees: the version each file has by its changes (the first 1, one more for each file with a change), beside the stored schema_version. f: as files gives it. A file without a feed has no version."""
+    n = report.groupBy("file_id").agg(F.count("*").alias("n"))
+    stored = registry.groupBy(F.col("id").alias("file_id")).agg(F.max("schema_version").alias("stored_version"))
+    rows = f.where("feed is not null").select("file_id", "feed", "received_at").join(n, "file_id", "left").join(stored, "file_id", "left").withColumn("n_changes", F.coalesce("n", F.lit(0)))
+    order = W.partitionBy("feed").orderBy("received_at", "file_id").rowsBetween(W.unboundedPreceding, W.currentRow)
+    version = (1 + F.sum((F.col("n_changes") > 0).cast("int")).over(order)).cast("bigint")
+    return rows.withColumn("version", version).select("file_id", "feed", F.col("stored_version").cast("bigint").alias("stored_version"), "version", "n_changes", F.coalesce(F.col("stored_version") == F.col("version"), F.lit(False)).alias("agrees"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from gristmill.operators import drift, fill, footers
 from gristmill.sources.tables import table
@@ -25,7 +26,24 @@ def p2_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p2_table(spark: SparkSession, d: str) -> DataFrame:
-    return drift.consistent(table(spark, d, "raw_line"), table(spark, d, "file_registry"))
+    return drift.consistent(table(spark, d, "raw_line"), table(spark, d, "file_registry"), table(spark, d, "procurement_export_batch1"), table(spark, d, "procurement_export_batch2"))
+
+
+def p2_batches(spark: SparkSession, d: str) -> DataFrame:
+    """The rows of both batches in one set of columns, the second's registration_no found to be the first's registration_number."""
+    old, new = table(spark, d, "procurement_export_batch1"), table(spark, d, "procurement_export_batch2")
+    both = drift.from_table(old).withColumn("table_name", F.lit("procurement_export_batch1")).unionByName(drift.from_table(new).withColumn("table_name", F.lit("procurement_export_batch2")))
+    return drift.replay(both, drift.aliases(drift.table_changes(old, new, "procurement_export_batch2"))).select("table_name", F.col("line_no").alias("record_id"), "file_id", "entity_key", "employee_count", "region_code", "compliance_flag", "registration_number", "contract_tier", "updated_at", F.col("_rescued").isNotNull().alias("rescued"))
+
+
+def p2_report(spark: SparkSession, d: str) -> DataFrame:
+    feeds = drift.changes(table(spark, d, "raw_line"), table(spark, d, "file_registry"))
+    return feeds.unionByName(drift.table_changes(table(spark, d, "procurement_export_batch1"), table(spark, d, "procurement_export_batch2"), "procurement_export_batch2"))
+
+
+def p2_versions(spark: SparkSession, d: str) -> DataFrame:
+    lines, files = table(spark, d, "raw_line"), table(spark, d, "file_registry")
+    return drift.version_report(drift.changes(lines, files), drift.files(lines, files), files)
 
 
 def p7_found(spark: SparkSession, d: str) -> DataFrame:
@@ -44,7 +62,7 @@ def p7_tables(spark: SparkSession, d: str) -> DataFrame:
     return footers.table_profiles(spark, d)
 
 
-QUERIES = {q.__name__: q for q in (p1_found, p1_filled, p1_filled_finance, p2_found, p2_table, p7_found, p7_profile, p7_profiles, p7_tables)}
+QUERIES = {q.__name__: q for q in (p1_found, p1_filled, p1_filled_finance, p2_found, p2_table, p2_batches, p2_report, p2_versions, p7_found, p7_profile, p7_profiles, p7_tables)}
 
 _WORDS = "('', '-', '--', '?', 'n/a', 'na', '#n/a', 'nan', 'null', 'none', 'nil', 'unknown', 'not provided', 'not available', 'not known', 'missing', 'pending', 'tbd', 'tbc', 'undefined')"
 
@@ -68,6 +86,14 @@ def _profile(column: str, kind: str) -> str:
     )
 
 
+_DAY = "coalesce(try_strptime(updated_at, '%Y-%m-%d'), try_strptime(updated_at, '%Y/%m/%d'), try_strptime(updated_at, '%d.%m.%Y'), try_strptime(updated_at, '%d %b %Y'), try_strptime(updated_at, '%Y-%m-%dT%H:%M:%S'))::date"
+
+
+def _held(c: str) -> str:
+    """The cell as written, null where it only stands for no value."""
+    return f"CASE WHEN lower(trim({c}, ' ' || chr(160) || chr(9))) NOT IN {_WORDS} THEN trim({c}, ' ') END"
+
+
 SQL = {
     "p1_found": "WITH c AS ("
     + " UNION ALL ".join((
@@ -78,6 +104,11 @@ SQL = {
         _cells("finance_extract", "registration_number", _registered("finance_extract")),
     ))
     + ") SELECT table_name, record_id, field_name FROM c WHERE NOT ok AND (table_name, entity_key, field_name) IN (SELECT (table_name, entity_key, field_name) FROM c WHERE ok)",
+    "p2_batches": " UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, record_id, file_id, {_held('entity_key')} AS entity_key, employee_count, {region} AS region_code, {_held('compliance_flag')} AS compliance_flag, {_held(number)} AS registration_number, {tier} AS contract_tier, {_DAY} AS updated_at, "
+        f"{_held('updated_at')} IS NOT NULL AND {_DAY} IS NULL AS rescued FROM {t}"
+        for t, region, number, tier in (("procurement_export_batch1", "CASE WHEN NOT isnan(region_code) THEN region_code::BIGINT END", "registration_number", "NULL::VARCHAR"), ("procurement_export_batch2", "region_code", "registration_no", _held("contract_tier")))
+    ),
     "p7_profile": " UNION ALL ".join(
         _profile(c, "numeric" if c in {"employee_count", "region_code"} else "text")
         for c in ("entity_key", "source_system", "employee_count", "region_code", "compliance_flag", "registration_number", "updated_at")

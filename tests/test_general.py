@@ -103,6 +103,28 @@ def test_rescue_and_replay(spark):
     assert {r.alias: r.field for r in drift.aliases(drift.changes(lines, registry), target).collect()} == {"Vendor": "entity_key", "as_of": "updated_at"}
 
 
+def test_rescue_keeps_cells_as_written(spark):
+    lines = spark.createDataFrame([("f", 0, "entity_key,employee_count,credit_limit,updated_at,odd"), ("f", 1, "VENAAAAA1,007,5,01.02.2026,x"), ("f", 2, "VENAAAAA2,12,2.5,2026-02-01,N/A")], "file_id string, line_no int, content string")
+    registry = spark.createDataFrame([("f", "s", None, 3)], "id string, source_system string, received_at timestamp, schema_version int")
+    f = drift.files(lines, registry)
+    got = {(r.line_no, r.header): (r.row_key, r.value) for r in drift.cells(drift.ingest(lines, f)).collect()}
+    assert got == {(1, h): ("VENAAAAA1", v) for h, v in zip("entity_key employee_count credit_limit updated_at odd".split(), ("VENAAAAA1", "007", "5", "01.02.2026", "x"))} | {(2, h): ("VENAAAAA2", v) for h, v in zip("entity_key employee_count credit_limit updated_at".split(), ("VENAAAAA2", "12", "2.5", "2026-02-01"))}
+    settled = {r.line_no: r for r in drift.replay(drift.ingest(lines, f), spark.createDataFrame([], "alias string, field string")).collect()}
+    assert settled[1].employee_count == 7 and settled[1].updated_at == dt.date(2026, 2, 1) and settled[1]._rescued == '{"odd":"x"}' and settled[2]._rescued is None
+    versions = drift.version_report(drift.changes(lines, registry), f, registry).collect()
+    assert [(r.file_id, r.stored_version, r.version, r.n_changes, r.agrees) for r in versions] == [("f", 3, 1, 0, False)]
+
+
+def test_tables_that_drift(spark):
+    old = spark.createDataFrame([(i, "a", f"V{i % 9}", float(i) if i % 2 else None, f"REG-{i % 9}") for i in range(40)], "record_id bigint, file_id string, entity_key string, region_code double, registration_number string")
+    new = spark.createDataFrame([(i, "b", f"V{i % 9}", i, f"reg-{i % 9} ", "gold" if i else "n/a") for i in range(30)], "record_id bigint, file_id string, entity_key string, region_code bigint, registration_no string, contract_tier string")
+    report = drift.table_changes(old, new, "t")
+    assert {tuple(r)[1:] for r in report.collect()} == {("region_code", "retyped", "decimal"), ("registration_no", "renamed", "registration_number"), ("contract_tier", "added", None)}
+    both = drift.replay(drift.from_table(old).unionByName(drift.from_table(new)), drift.aliases(report)).collect()
+    assert len(both) == 70 and all(r.registration_number and r._rescued is None for r in both) and sum(r.contract_tier is None for r in both) == 41 and sum(r.region_code is None for r in both) == 20
+    assert drift.table_changes(old.where("false"), new.where("false"), "t").count() == 4
+
+
 def test_aliases_of_any_distance_and_direction(spark):
     renames = [("a1", "updated_at"), ("a2", "a1"), ("a3", "a2"), ("a4", "a3"), ("a5", "a4"), ("n", "headcount"), ("headcount", "staff"), ("a1", "n"), ("x", "y")]
     report = spark.createDataFrame([("f", new, "renamed", old) for new, old in renames] + [("f", "z", "added", None)], "file_id string, field_name string, change_kind string, was string")
