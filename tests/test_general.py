@@ -155,12 +155,18 @@ def test_footer_profile_equals_scan(spark, tmp_path):
     assert footers.load_profiles(spark, empty).count() == 0
 
 
-def test_columns_of_a_row_group_go_to_several_tasks(spark, tmp_path):
+def test_only_columns_that_footers_leave_open_are_scanned(spark, tmp_path):
     import pyarrow as pa
     import pyarrow.parquet as pq
 
-    pq.write_table(pa.table({"file_id": ["a", "b"], **{f"c{i}": [1, 2] for i in range(12)}}), str(tmp_path / "one.parquet"))
-    assert footers.parts(spark, str(tmp_path / "one.parquet")).select(F.spark_partition_id()).distinct().count() > 1
+    pq.write_table(pa.table({"file_id": ["a", "a", "b", "b"], "s": ["x", None, "y", "y"], "n": [1, 2, 2, 2]}), str(tmp_path / "one.parquet"), row_group_size=2)
+    found = footers.parts(spark, str(tmp_path / "one.parquet"))
+    assert "ReadSchema: struct<file_id:string,n:bigint>" in found._jdf.queryExecution().toString()
+    assert {(r.load, r.column, r.value) for r in found.where("value is not null and read = 'dictionary'").collect()} == {("a", "s", "x"), ("b", "s", "y")}
+    # two loads whose names are alike up to where a writer cuts them off aren't one
+    long = "l" * 100
+    pq.write_table(pa.table({"file_id": [long + "a", long + "b"], "s": ["x", "y"]}), str(tmp_path / "two.parquet"))
+    assert footers.load_profiles(spark, str(tmp_path / "two.parquet")).count() == 2
 
 
 def test_profiles_of_all_tables_with_ranges(spark, tmp_path):
