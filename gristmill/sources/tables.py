@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import re
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -37,6 +38,13 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def written(df: DataFrame) -> DataFrame:
+    """`df` as a Parquet table in the shared checkpoint folder, read back by columns: for what is large and read more than once."""
+    folder = f"{checkpoint_dir(df.sparkSession)}/{uuid.uuid4().hex}.parquet"
+    df.write.parquet(folder)
+    return df.sparkSession.read.parquet(folder)
+
+
 def spread(df: DataFrame, *columns: str, least: int = 1) -> DataFrame:
     """`df` in as many partitions as the session shuffles to, at least `least`: for few rows that mean much work each, which adaptive execution would put into one task."""
     return df.repartition(max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), least), *columns)
