@@ -11,13 +11,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from gristmill.functions.values import NO_VALUE, date_of, has_number, has_text, plain_key, spelled
+from gristmill.functions.joins import split_join
+from gristmill.functions.values import BLANK_IDENTIFIER, NO_VALUE, date_of, has_identifier, has_number, has_text, plain_key, shared_identifiers, spelled
 from gristmill.sources.tables import cut
 
 #: v comes before w if w followed v at least this many times, and this share of the times that one followed the other.
 LEAST_TIMES, LEAST_SHARE = 5, 0.6
 #: The four fields of procurement records.
-FIELDS = {"employee_count": has_number, "region_code": has_number, "compliance_flag": has_text, "registration_number": has_text}
+FIELDS = {"employee_count": has_number, "region_code": has_number, "compliance_flag": has_text, "registration_number": has_identifier}
 
 
 def vendors(keys: DataFrame, key: str = "key") -> DataFrame:
@@ -114,9 +115,10 @@ def current_values(held: DataFrame) -> DataFrame:
 
 
 def usable(field: Column, value: Column) -> Column:
-    """A usable value; `unknown` is one of liability_cap_status only."""
+    """A usable value; `unknown` is one of liability_cap_status only, blank digits none of registration_number."""
     s = spelled(value)
-    return F.coalesce(~s.isin(*NO_VALUE) | ((field == "liability_cap_status") & (s == "unknown")), F.lit(False))
+    blank = (field == "registration_number") & s.rlike(BLANK_IDENTIFIER)
+    return F.coalesce((~s.isin(*NO_VALUE) & ~blank) | ((field == "liability_cap_status") & (s == "unknown")), F.lit(False))
 
 
 def field_survivors(fields: DataFrame) -> DataFrame:
@@ -127,7 +129,7 @@ def field_survivors(fields: DataFrame) -> DataFrame:
     with partial sums, so no group is ever held by one task.
     """
     rows = fields.select("id", "field_name", "value", "confidence", "extracted_at", plain_key(F.col("entity_key")).alias("key"))
-    rows = rows.join(vendors(rows.select("key")), "key").where("field_name is not null")
+    rows = split_join(rows.where("key is not null and field_name is not null"), cut(vendors(rows.select("key"))), "key", "inner")
     ok = usable(F.col("field_name"), F.col("value"))
     order = F.struct((~ok).cast("int"), -F.coalesce(F.col("confidence").cast("double"), F.lit(-1.0)), -F.coalesce(F.unix_micros(F.col("extracted_at").cast("timestamp")), F.lit(-(1 << 62))), "id", F.col("value").alias("raw"))
     long = rows.select(
@@ -145,12 +147,14 @@ def record_survivors(records: DataFrame) -> DataFrame:
     First goes the row with most values among the four fields, then the later updated_at (null earliest), then the smaller
     record_id. current maps each field that has a value to its most current one. Rows without a load or key form no group.
     """
-    rows = records.where("file_id is not null and entity_key is not null").select("file_id", "entity_key", "record_id", date_of(F.col("updated_at")).alias("day"), *FIELDS)
-    n = sum((has(F.col(c)).cast("int") for c, has in FIELDS.items()), F.lit(0))
+    shared = shared_identifiers(records, "registration_number", "entity_key")
+    fields = {c: has(F.col(c), shared) if has is has_identifier else has(F.col(c)) for c, has in FIELDS.items()}
+    rows = records.where("file_id is not null and entity_key is not null").select("file_id", "entity_key", F.concat_ws("\u0001", "file_id", "entity_key").alias("k"), "record_id", date_of(F.col("updated_at")).alias("day"), *FIELDS)
+    n = sum((ok.cast("int") for ok in fields.values()), F.lit(0))
     order = F.struct(-n, -F.coalesce(F.unix_date("day"), F.lit(-(1 << 30))), "record_id")
     best = cut(rows.groupBy("file_id", "entity_key").agg(F.count("*").alias("n_rows"), F.min_by(F.struct("record_id", *FIELDS), order).alias("b")).where("n_rows >= 2"))
-    cells = F.explode(F.array(*(F.struct(F.lit(c).alias("field"), F.when(has(F.col(c)), spelled(F.col(c))).alias("value")) for c, has in FIELDS.items())))
-    long = rows.join(best.select("file_id", "entity_key"), ["file_id", "entity_key"], "left_semi")
+    cells = F.explode(F.array(*(F.struct(F.lit(c).alias("field"), F.when(ok, spelled(F.col(c))).alias("value")) for c, ok in fields.items())))
+    long = split_join(rows, best.select(F.concat_ws("\u0001", "file_id", "entity_key").alias("k")), "k", "left_semi")
     long = long.select(F.struct("file_id", "entity_key").alias("grp"), "day", cells.alias("c")).select("grp", F.col("c.field").alias("field"), F.col("c.value").alias("value"), F.col("day").cast("timestamp").alias("at"), F.lit(1.0).alias("weight"))
     now = current_values(cut(held_values(long))).groupBy("grp").agg(F.map_from_entries(F.collect_list(F.struct("field", F.struct("current_value", "current_by")))).alias("current"))
     now = now.select("grp.file_id", "grp.entity_key", "current")
