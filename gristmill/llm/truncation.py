@@ -7,8 +7,10 @@ number: digits become 9, capitalised words inside a sentence N, rare first words
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from gristmill.sources.tables import cut
+from gristmill.functions.joins import split_join
+from gristmill.sources.tables import cut, written
 
 #: A first word of sentences is kept as it is if it begins at least this share of them: so at most 1 / share words are kept, which bounds what is broadcast.
 STARTER_SHARE = 0.001
@@ -55,25 +57,25 @@ SELECT doc_id, source, copy, marked, last_raw, words[size(words) - 3] AS a, word
        NOT exists(slice(words, greatest(size(words) - 7, 2), 8), w -> w = '¶') AS running FROM {tokens} WHERE size(words) > 2
 """
 
+KINDS = "SELECT a, b, c, last_raw, running, marked, count(DISTINCT copy) AS copies FROM {ends} GROUP BY a, b, c, last_raw, running, marked"
+
 JUDGED = """
 WITH terminal AS (SELECT a, b, c, running, count(DISTINCT copy) AS terminal FROM {ends} GROUP BY a, b, c, running),
 last_inside AS (SELECT t.a, t.b, t.c, t.running, t.terminal, coalesce(i.inside, 0L) AS inside FROM terminal t LEFT JOIN {inside} i ON t.a = i.a AND t.b = i.b AND t.c = i.c),
-fragments AS (SELECT DISTINCT e.a, e.b, regexp_replace(e.last_raw, '[0-9].*', '') AS part, e.last_raw, e.c FROM {ends} e WHERE e.last_raw RLIKE r'^\\p{{L}}'),
-begun AS (
-  SELECT f.a, f.b, f.last_raw, f.c, sum(i.inside) AS longer FROM fragments f
-  JOIN {inside} i ON f.a = i.a AND f.b = i.b AND (startswith(i.c, f.last_raw) AND i.c <> f.last_raw OR startswith(i.c, concat('^', f.last_raw)) AND i.c <> concat('^', f.last_raw))
-  GROUP BY f.a, f.b, f.last_raw, f.c
-),
+fragments AS (SELECT DISTINCT a, b, last_raw FROM {kinds} WHERE last_raw RLIKE r'^\\p{{L}}'),
+bare AS (SELECT a, b, trim(LEADING '^' FROM c) AS w, inside FROM {inside} WHERE c RLIKE r'^\\^?\\p{{L}}.'),
+wanted AS (SELECT /*+ MERGE(f) */ b.a, b.b, b.w, b.inside FROM bare b LEFT SEMI JOIN (SELECT DISTINCT a, b, left(last_raw, 1) AS initial FROM fragments) f ON b.a = f.a AND b.b = f.b AND left(b.w, 1) = f.initial),
+beginnings AS (SELECT a, b, beginning, sum(inside) AS longer FROM (SELECT a, b, inside, explode(transform(sequence(1, length(w) - 1), n -> left(w, n))) AS beginning FROM wanted) GROUP BY a, b, beginning),
 seen AS (SELECT a, b, last_raw, c, count(DISTINCT copy) AS ends FROM {ends} GROUP BY a, b, last_raw, c)
-SELECT e.doc_id, e.source, e.marked, e.a, e.b, e.c, e.last_raw, l.inside, l.terminal, coalesce(g.longer, 0L) AS longer,
+SELECT xxhash64(e.a, e.b, e.c, e.last_raw, e.running, e.marked) AS kind, l.inside, l.terminal, coalesce(g.longer, 0L) AS longer,
   CASE WHEN e.c RLIKE r'^[.!?]' AND NOT e.marked THEN FALSE
        WHEN e.marked AND NOT e.c RLIKE r'^[.!?]' THEN TRUE
        WHEN e.c RLIKE r'^[,;(-]' THEN TRUE
        WHEN l.inside >= {frequent} AND l.terminal <= 1 + IF(l.running, {share}, {short}) * l.inside THEN TRUE
        WHEN coalesce(g.longer, 0L) >= 4 AND coalesce(g.longer, 0L) > IF(e.c = 'N', 0, 4) * l.inside AND s.ends <= 1 + {share} * g.longer THEN TRUE
        ELSE FALSE END AS cut
-FROM {ends} e JOIN last_inside l ON e.a = l.a AND e.b = l.b AND e.c = l.c AND e.running = l.running
-LEFT JOIN begun g ON e.a = g.a AND e.b = g.b AND e.last_raw = g.last_raw AND e.c = g.c
+FROM {kinds} e JOIN last_inside l ON e.a = l.a AND e.b = l.b AND e.c = l.c AND e.running = l.running
+LEFT JOIN beginnings g ON e.a = g.a AND e.b = g.b AND e.last_raw = g.beginning
 LEFT JOIN seen s ON e.a = s.a AND e.b = s.b AND e.last_raw = s.last_raw AND e.c = s.c
 """
 
@@ -88,12 +90,15 @@ def endings(docs: DataFrame, frequent: int = FREQUENT, share: float = TERMINAL_S
     empty and blank texts have no ending and no row. Exact copies count once at ends and get the same verdict.
     """
     spark = docs.sparkSession
-    tokens = spark.sql(TOKENS.replace("{mark}", MARK.replace("{", "{{").replace("}", "}}")), docs=docs.select("doc_id", "source", "text"))
+    tokens = written(spark.sql(TOKENS.replace("{mark}", MARK.replace("{", "{{").replace("}", "}}")), docs=docs.select("doc_id", "source", "text")))
     counted = cut(spark.sql(COUNTED, tokens=tokens))
     starters = cut(spark.sql(STARTERS, counted=counted, share=STARTER_SHARE))
     inside = cut(spark.sql(CLASSED.replace("{key}", "").replace("{value}", "sum(inside) AS inside").replace("{group}", "GROUP BY 1, 2, 3"), rows=counted, starters=starters))
     ends = cut(spark.sql(CLASSED.replace("{key}", "doc_id, source, copy, marked, last_raw, running,").replace(", {value}", "").replace("{group}", ""), rows=spark.sql(ENDS, tokens=tokens), starters=starters))
-    return spark.sql(JUDGED, ends=ends, inside=inside, frequent=frequent, share=share, short=SHORT_SHARE)
+    # endings of one kind get one verdict, and kinds that many texts share don't meet them in one task
+    verdicts = cut(spark.sql(JUDGED, ends=ends, inside=inside, kinds=cut(spark.sql(KINDS, ends=ends)), frequent=frequent, share=share, short=SHORT_SHARE))
+    rows = ends.withColumn("kind", F.xxhash64("a", "b", "c", "last_raw", "running", "marked"))
+    return split_join(rows, verdicts, "kind", "inner").select("doc_id", "source", "marked", "a", "b", "c", "last_raw", "inside", "terminal", "longer", "cut")
 
 
 def truncated(docs: DataFrame) -> DataFrame:
