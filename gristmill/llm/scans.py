@@ -1,22 +1,24 @@
 """Problem 6: repairing text from scanned pages.
 
-Words and their neighbours are counted over the whole corpus. From the counts come skip-gram vectors (positive pointwise
-mutual information of a word with the words beside it, the matrix that skip-gram training factors). A rare word is linked
-to frequent words that differ from it by glyphs that scanners take for one another, and corrected where their vectors
-agree. Running titles are lines that come again in a file; hyphenated words are joined where the joined word is known.
+Skip-gram vectors of the corpus' frequent words are trained by Spark. A rare word is linked to frequent words that differ
+from it by glyphs that scanners take for one another; at each place where it stands, the linked word whose vector fits the
+words around it takes its place. Running titles are lines that come again in a file; their common shapes, learned over all
+files, also find titles that a file shows once. Hyphenated words are joined where the joined word is known.
 """
 
 from __future__ import annotations
 
 import re
-from collections import Counter, defaultdict
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
+from pyspark.ml.feature import StopWordsRemover, Word2Vec
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gristmill.sources.tables import cut, spread
+from gristmill.sources.tables import cut, spread, written
 
 #: Glyphs as misread, and what may have stood there.
 MISREAD = (
@@ -26,9 +28,17 @@ MISREAD = (
 #: A frequent word stands at least this often, and this many times as often as the rare word that is linked to it.
 FREQUENT, RATIO = 12, 15
 #: Entries of a dictionary that tasks may hold; beyond that it is joined.
-HELD = 500_000
-#: Pairs that a task counts before it passes them on.
-FLUSH = 400_000
+HELD = 200_000
+#: Words with a vector, the most frequent ones: the bound of what training holds and tasks get; length of a vector, words of its window.
+VOCABULARY, LENGTH, WINDOW = 60_000, 16, 2
+#: Words from this share of all places on are function words, at most 1 / COMMON of them: they stand beside anything, so vectors leave them out.
+COMMON = 0.002
+#: Words on both sides of a place that a linked word has to fit.
+AROUND = 4
+#: How near to the words around it a linked word must be, as a cosine.
+FITTING = 0.0
+#: A word of titles is part of their shape if it stands in titles of at least this share of files with one, and a shape counts if at least SHAPE_SHARE of them, and two, have it: so there are at most 1 / SHAPE_SHARE shapes.
+WORD_SHARE, SHAPE_SHARE = 0.05, 0.01
 
 WORD = re.compile(r"[\w!|'’-]+")
 EDGES = "!|'’-_"
@@ -36,22 +46,13 @@ EDGES = "!|'’-_"
 PARTED = re.compile(r"[-‐¬\xad](?<=[^\W_].)(?:[^\S\n]*\n\s*(?=[a-zà-ÿ!|0-9]*[a-zà-ÿ])|(?<!-) ?(?=[a-zà-ÿ])|(?<=-) (?!and\b|or\b|und\b|et\b|ou\b|y\b|bis\b)(?=[a-zà-ÿ]))")
 BEFORE, AFTER = re.compile(r"[^\W_]+$"), re.compile(r"[\w!|]+")
 NUMBER = re.compile(r"\d+(?:[.,]\d+)*")
-ODD = re.compile(r"^[a-zà-ÿ]+(?:[015689!|]+[a-zà-ÿ]+)+$")
+#: A digit or mark among letters.
+ODD = r"^[a-zà-ÿ]+(?:[015689!|]+[a-zà-ÿ]+)+$"
 #: Page numbers on lines of their own, and such as are known by their form anywhere.
 PAGE_LINE = re.compile(r"^[^\S\n]*(?:(?:Page|Seite|PAGE|page|p\.|S\.|Pag\.)[^\S\n]?\d{1,4}(?:[^\S\n](?:of|von|/)[^\S\n]\d{1,4})?|-[^\S\n]?\d{1,4}[^\S\n]?-|\[\d{1,4}\]|\d{1,4}(?:[^\S\n]?/[^\S\n]?\d{1,4})?)[^\S\n]*$", re.M)
 PAGE_IN = re.compile(r"(?:(?:Page|Seite|page|p\.|PAGE|SEITE) \d{1,4}(?: (?:of|von|OF) \d{1,4})?|- \d{1,4} -|\[\d{1,4}\]|\d{1,4} / \d{1,4})")
-#: A digit or mark among letters; parts of a compound.
-STRANGE, PARTS = re.compile(r"[a-zà-ÿ][015689!|]+[a-zà-ÿ]"), re.compile(r"[^-’']+")
-#: Parts of known running titles, in lower case.
-TITLE_HINTS = ("frame contract ", "strictly private ", "internal use only ", "master agreement ", " - draft ", "confidential: ", " / general conditions / ", " | supply terms")
-#: Running titles known by their form: a file's code with its status, a notice of confidence, a form of contract with a year.
-TITLE = re.compile(
-    r"(?:frame contract|strictly private|internal use only|master agreement) [a-z]{2,5}-\d{5,}(?: rev\. [a-z])?|[a-z]{2,5}-\d{6,} - draft \d+|confidential: (?:(?-i:[A-Z])[\w-]*(?: |$)){1,5}"
-    r"|(?:(?-i:[A-Z])[\w-]* ){1,5}/ general conditions / \d{4}|(?:(?-i:[A-Z])[\w-]* ){1,5}\| supply terms",
-    re.I,
-)
-
-
+#: Parts of a compound.
+PARTS = re.compile(r"[^-’']+")
 def rejoined(text: str) -> str:
     return PARTED.sub("", text)
 
@@ -60,27 +61,34 @@ def tokens(text: str) -> list[str]:
     return [w if w.isalpha() else "9" if w.isdigit() else w.strip(EDGES) for w in WORD.findall(text.lower())]
 
 
-def counted(chunks: DataFrame) -> DataFrame:
-    """left, right, n: how often words stand side by side; a text's last word stands left of ''."""
+def sentences(chunks: DataFrame) -> DataFrame:
+    """words: the words of each text, in lower case, numbers as 9, parted words joined."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        pairs: Counter = Counter()
+    @F.pandas_udf("array<string>")
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for texts in batches:
+            yield pd.Series([tokens(rejoined(t)) for t in texts], dtype=object)
 
-        def out() -> pd.DataFrame:
-            left, right = zip(*pairs) if pairs else ((), ())
-            return pd.DataFrame({"left": left, "right": right, "n": list(pairs.values())})
+    return chunks.where(F.length("text") > 0).select(run(F.col("text")).alias("words"))
 
-        for pdf in batches:
-            for text in pdf["text"]:
-                words = tokens(rejoined(text))
-                pairs.update(zip(words, [*words[1:], ""]))
-            if len(pairs) > FLUSH:
-                yield out()
-                pairs.clear()
-        yield out()
 
-    found = chunks.where(F.length("text") > 0).select("text").mapInPandas(run, "left string, right string, n long")
-    return found.groupBy("left", "right").agg(F.sum("n").alias("n"))
+def vectors(texts: DataFrame, words: DataFrame, most: int = VOCABULARY) -> DataFrame:
+    """word, vector: skip-gram vectors of the `most` most frequent words that stand FREQUENT times or more, but function words, trained over all texts.
+
+    texts: words (array). words: word, n. Beyond `most` words, the least count that a word needs is raised until so many are left.
+    """
+    often = words.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0] * COMMON
+    least, known = FREQUENT, words.where((F.col("n") >= FREQUENT) & (F.col("n") < often))
+    n = known.count()
+    if n > most:
+        least = int(known.agg(F.percentile("n", 1 - most / n)).first()[0]) + 1
+    if not n:
+        return texts.sparkSession.createDataFrame([], "word string, vector array<float>")
+    common = words.where(F.col("n") >= often).select("word").collect()
+    texts = StopWordsRemover(inputCol="words", outputCol="content", stopWords=sorted(r.word for r in common), caseSensitive=True).transform(texts)
+    parts = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    model = Word2Vec(vectorSize=LENGTH, windowSize=WINDOW, minCount=least, numPartitions=parts, maxIter=1, seed=7, inputCol="content", outputCol="v").fit(texts)
+    return model.getVectors().select("word", vector_to_array("vector", "float32").alias("vector"))
 
 
 def misreadings(word: str) -> set[str]:
@@ -93,53 +101,48 @@ def misreadings(word: str) -> set[str]:
     return (first | {x for w in first if re.search(r"[0-9!|]", w) for x in once(w)}) - {word}
 
 
-def corrections(pairs: DataFrame) -> DataFrame:
-    """word, right, n, n_right, likeness: for each rare word its best frequent neighbour by glyphs and by vectors.
+def unread(word: str) -> set[str]:
+    """What a word with digits or marks among its letters may have been: each of them taken for a letter."""
+    found, done = {word}, set()
+    while found:
+        w = found.pop()
+        if not re.search(r"[0-9!|]", w):
+            done.add(w)
+            continue
+        i = re.search(r"[0-9!|]", w).start()
+        found |= {w[:i] + right + w[i + 1 :] for wrong, right in MISREAD if wrong == w[i] and len(done) + len(found) < 256}
+    return done
+
 
-    likeness is the cosine of the two words' vectors. A word without any neighbour in common with the frequent word is not
-    linked, unless it has a digit or mark among its letters.
+def links(words: DataFrame) -> DataFrame:
+    """word, right, n, n_right: each rare word with the words it may be a misreading of. words: word, n.
+
+    These are at least FREQUENT and RATIO times as frequent. A word with digits or marks among its letters is no word, so
+    any known word that it may be will do, and itself where none is known.
     """
 
     def edit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             for at in range(0, len(pdf), 500):
                 part = pdf[at : at + 500]
-                rows = [(v, w, n) for w, n in zip(part["right"], part["n_right"]) if len(w) <= 40 for v in misreadings(w)]
-                yield pd.DataFrame(rows, columns=["word", "right", "n_right"])
+                yield pd.DataFrame([(v, w, n) for w, n in zip(part["right"], part["n_right"]) for v in misreadings(w)], columns=["word", "right", "n_right"])
+
+    def back(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            yield pd.DataFrame([(w, n, v) for w, n in zip(pdf["word"], pdf["n"]) for v in unread(w)], columns=["word", "n", "right"])
 
-    words = cut(pairs.groupBy(F.col("left").alias("word")).agg(F.sum("n").alias("n")))
-    total = words.agg(F.coalesce(F.sum("n"), F.lit(1))).first()[0]
-    frequent = words.where(F.col("n") >= FREQUENT).select(F.col("word").alias("right"), F.col("n").alias("n_right"))
     most = words.agg(F.coalesce(F.max("n"), F.lit(0))).first()[0]
     rare = words.where((F.col("n") * RATIO <= most) & (F.length("word") >= 3) & F.col("word").rlike(r"[a-zà-ÿ]") & ~F.col("word").rlike(r"^[0-9]+-?[a-z]?$|[-’']"))
-    frequent = frequent.where((F.length("right") >= 3) & F.col("right").rlike(r"^[^\W\d_]+$"))
-    links = cut(spread(frequent, "right").mapInPandas(edit, "word string, right string, n_right long").join(rare, "word").where(F.col("n_right") >= F.col("n") * RATIO))
-    linked = links.select("word").union(links.select("right")).distinct()
-    beside = pairs.where("right <> ''")
-    around = beside.select(F.col("left").alias("word"), F.concat(F.lit("> "), "right").alias("by"), F.col("right").alias("other"), "n").unionByName(
-        beside.select(F.col("right").alias("word"), F.concat(F.lit("< "), "left").alias("by"), F.col("left").alias("other"), "n")
-    )
-    vectors = (
-        around.join(linked, "word").join(words.select(F.col("word"), F.col("n").alias("n_word")), "word").join(words.select(F.col("word").alias("other"), F.col("n").alias("n_other")), "other")
-        .select("word", "by", F.log1p(F.greatest(F.lit(0.0), F.col("n") * F.lit(float(total)) / F.col("n_word") / F.col("n_other") - 1)).alias("pmi"))
-    )
-    vectors = cut(vectors.where("pmi > 0"))
-    norms = vectors.groupBy("word").agg(F.sqrt(F.sum(F.col("pmi") * F.col("pmi"))).alias("norm"))
-    shared = (
-        links.select("word", "right").join(vectors, "word").join(vectors.select(F.col("word").alias("right"), "by", F.col("pmi").alias("pmi_right")), ["right", "by"])
-        .groupBy("word", "right").agg(F.sum(F.col("pmi") * F.col("pmi_right")).alias("dot"))
-    )
-    judged = (
-        links.join(shared, ["word", "right"], "left").join(norms, "word", "left").join(norms.select(F.col("word").alias("right"), F.col("norm").alias("norm_right")), "right", "left")
-        .withColumn("likeness", F.coalesce(F.col("dot") / (F.col("norm") * F.col("norm_right")), F.lit(0.0)))
-        .where((F.col("likeness") > 0) | F.col("word").rlike(r"[a-zà-ÿ][0-9!|]+[a-zà-ÿ]"))
-    )
-    return judged.groupBy("word").agg(F.max_by(F.struct("right", "n", "n_right", "likeness"), F.struct("likeness", "n_right", "right")).alias("b")).select("word", "b.*")
-
-
-def compounds(pairs: DataFrame) -> DataFrame:
+    plain = words.where((F.length("word") >= 3) & F.col("word").rlike(r"^[^\W\d_]+$")).select(F.col("word").alias("right"), F.col("n").alias("n_right"))
+    near = spread(plain.where(F.col("n_right") >= FREQUENT), "right").mapInPandas(edit, "word string, right string, n_right long").join(rare, "word").where(F.col("n_right") >= F.col("n") * RATIO)
+    odd = words.where(F.col("word").rlike(ODD))
+    known = odd.mapInPandas(back, "word string, n long, right string").join(plain, "right").where("n_right >= 2")
+    found = near.select("word", "right", "n", "n_right").unionByName(known.select("word", "right", "n", "n_right")).distinct()
+    return found.unionByName(odd.join(found.select("word").distinct(), "word", "left_anti").select("word", F.col("word").alias("right"), "n", F.col("n").alias("n_right")))
+
+
+def compounds(words: DataFrame) -> DataFrame:
     """word, joined: hyphenated words, with joined where the word without its hyphen is the known one, else null."""
-    words = pairs.groupBy(F.col("left").alias("word")).agg(F.sum("n").alias("n"))
     hyphened = words.where(F.col("word").rlike(r"^[a-zà-ÿ]{2,}-[a-zà-ÿ]{2,}$")).withColumn("joined", F.regexp_replace("word", "-", ""))
     both = hyphened.join(words.select(F.col("word").alias("joined"), F.col("n").alias("n_joined")), "joined", "left")
     known = F.coalesce(F.col("n_joined"), F.lit(0))
@@ -150,17 +153,62 @@ def titles(chunks: DataFrame) -> DataFrame:
     """file_id, title: lines in lower case that stand in two or more different texts of a file, apart from prose and table rows."""
     line = F.trim(F.lower(F.col("line")))
     lines = chunks.where("text is not null and file_id is not null").select("file_id", F.xxhash64("text").alias("copy"), F.explode(F.split("text", "\n")).alias("line"))
-    lines = lines.where(F.length("line").between(8, 70) & ~F.col("line").rlike(r"[.;,:]\s*$|^\s*(?:\(?\d+[.)]|[-•*])\s|\|.*\|") & F.col("line").rlike(r"^\s*\p{Lu}"))
+    lines = lines.where(F.length("line").between(6, 200) & ~F.col("line").rlike(r"[.;,:]\s*$|^\s*(?:\(?\d+[.)]|[-•*])\s|\|.*\|") & F.col("line").rlike(r"^\s*\p{Lu}"))
     return lines.groupBy("file_id", line.alias("title")).agg(F.countDistinct("copy").alias("texts")).where("texts >= 2").select("file_id", "title")
 
 
+def shapes(found: DataFrame) -> list[tuple[str, str]]:
+    """(words that any such title has, pattern) of the shapes that titles of many files share: their common words in order, numbers as such, and runs of up to five capitalised words in the place of others. found: file_id, title."""
+    token = F.regexp_replace(F.col("token"), r"\d+", "9")
+    split = found.select("file_id", "title", F.posexplode(F.split("title", " ")).alias("at", "token")).select("file_id", "title", "at", token.alias("token"))
+    files = found.agg(F.count_distinct("file_id")).first()[0]
+    common = split.groupBy("token").agg(F.count_distinct("file_id").alias("n")).where(F.col("n") >= max(2, WORD_SHARE * files)).select("token", F.lit(True).alias("common"))  # a title has few words, so these are few
+    marked = split.join(F.broadcast(common), "token", "left").groupBy("file_id", "title").agg(F.array_sort(F.collect_list(F.struct("at", F.when(F.col("common"), F.col("token")).otherwise("*").alias("token")))).alias("t"))
+    shape = F.regexp_replace(F.array_join(F.transform("t", lambda x: x["token"]), " "), r"\*(?: \*)+", "*")
+    n = marked.groupBy(shape.alias("shape")).agg(F.count_distinct("file_id").alias("n")).where((F.col("n") >= max(2, SHAPE_SHARE * files)) & F.col("shape").rlike(r"[^* 9]{3}"))
+    made = {"*": r"(?-i:[A-ZÀ-Þ])[\w-]*(?: (?-i:[A-ZÀ-Þ])[\w-]*){0,4}"}
+    found = n.orderBy(F.desc("n"), F.length("shape").desc(), "shape").collect()
+    return [(max(re.split("[*9]", r.shape), key=len), "(?<!\\w)" + " ".join(made.get(t) or r"\d+".join(map(re.escape, t.split("9"))) for t in r.shape.split(" ")) + "(?!\\w)") for r in found]
+
+
+class Titles:
+    """Titles of known shapes in a text; patterns are tried only where their words stand."""
+
+    def __init__(self, patterns: list[tuple[str, str]]):
+        self.patterns = [(hint, re.compile(p, re.I)) for hint, p in patterns]
+
+    def of(self, low: str) -> list[re.Pattern]:
+        """The patterns that a text, in lower case, may have."""
+        return [p for hint, p in self.patterns if hint in low]
+
+
 def joints(text: str) -> set[str]:
     """Words parted by a hyphen, as compounds."""
     ends = [(BEFORE.search(text, max(0, m.start() - 40), m.start()), AFTER.match(text, m.end())) for m in PARTED.finditer(text)]
     return {f"{a.group()}-{b.group()}".lower() for a, b in ends if a and b}
 
 
-def find_traces(text: str, right: dict[str, str], hyphened: dict[str, str | None], running: set[str], page: int | None = None) -> list[tuple[int, int, str, str]]:
+class Reader:
+    """What was learned of a corpus, as tasks hold it: patterns of titles, vectors of words."""
+
+    def __init__(self, patterns: list[tuple[str, str]], words: list[str], rows: np.ndarray):
+        self.titles = Titles(patterns)
+        self.place = {w: i for i, w in enumerate(words)}
+        self.rows = rows / np.maximum(np.linalg.norm(rows, axis=1, keepdims=True), 1e-9) if len(words) else rows
+
+    def fitting(self, linked: list[tuple[str, int]], around: list[str]) -> str | None:
+        """Of the linked words the one that fits the words around best, the more frequent of equals; None if none fits. Where vectors can't tell, the most frequent one."""
+        near = [self.place[w] for w in around if w in self.place]
+        known = [(right, n) for right, n in linked if right in self.place]
+        if not near or not known:
+            return max(linked, key=lambda x: (x[1], x[0]))[0]
+        context = self.rows[near].sum(axis=0)
+        context /= max(float(np.linalg.norm(context)), 1e-9)
+        score, _, right = max((float(self.rows[self.place[right]] @ context), n, right) for right, n in known)
+        return right if score >= FITTING else None
+
+
+def find_traces(text: str, reader: Reader, right: dict[str, list[tuple[str, int]]], hyphened: dict[str, str | None], running: set[str], page: int | None = None) -> list[tuple[int, int, str, str]]:
     """(begin, end, kind, what to put there) of each trace, in order of place and without overlaps. Where the chunk's page is known, another number is no page number."""
     found: list[tuple[int, int, str, str]] = []
     taken = bytearray(len(text))
@@ -174,11 +222,11 @@ def find_traces(text: str, right: dict[str, str], hyphened: dict[str, str | None
         return page is None or int(re.search(r"\d+", number).group()) == page
 
     low = text.lower()
-    entitled = any(h in low for h in TITLE_HINTS)
+    shaped = reader.titles.of(low)
     if "\n" in text:
         at = 0
         for line in text.split("\n"):
-            if len(line) < 90 and (running and line.strip().lower() in running or entitled and TITLE.fullmatch(line.strip())):
+            if running and line.strip().lower() in running or any(p.fullmatch(line.strip()) for p in shaped):
                 take(at, at + len(line), "header", "")
             elif len(line) < 24 and PAGE_LINE.match(line) and of_page(line):
                 take(at, at + len(line), "page_number", "")
@@ -188,10 +236,10 @@ def find_traces(text: str, right: dict[str, str], hyphened: dict[str, str | None
         while b >= 0:
             take(b, b + len(title), "header", "")
             b = low.find(title, b + len(title))
-    if entitled:
-        for m in TITLE.finditer(text):
-            if not re.match(r"(?:[\w-]+ ){1,5}[/|]|confidential", m.group(), re.I) or "\n" not in text:
-                take(*m.span(), "header", "")
+    for m in (m for p in shaped for m in p.finditer(text)):
+        # a shape with free words, amid a line, could run into what stands beside it
+        if "\n" not in text or re.search(r"\d", m.group()) and not re.search(r" [/|] |: ", m.group()):
+            take(*m.span(), "header", "")
     for m in PAGE_IN.finditer(text):
         if (not m.start() or text[m.start() - 1].isspace()) and text[m.end() : m.end() + 1].isspace() and of_page(m.group()):
             take(*m.span(), "page_number", "")
@@ -205,17 +253,19 @@ def find_traces(text: str, right: dict[str, str], hyphened: dict[str, str | None
                 continue
         take(head.start(), tail.end(), "hyphenation", head.group() + tail.group())
     seen = WORD.findall(low)
-    compound = [w for w in seen if "-" in w or "'" in w or "’" in w]
-    if not right.keys().isdisjoint(seen) or STRANGE.search(low) or any(hyphened.get(w) or any(x in right for x in PARTS.findall(w)) for w in compound):
-        for m in WORD.finditer(text):
+    marked = [w for w in seen if not w.isalnum()]
+    compound = [w for w in marked if "-" in w or "'" in w or "’" in w]
+    if not right.keys().isdisjoint(seen) or not right.keys().isdisjoint([w.strip(EDGES) for w in marked]) or any(hyphened.get(w) or any(x in right for x in PARTS.findall(w)) for w in compound):
+        plain = [w.strip(EDGES) for w in seen]
+        for k, m in enumerate(WORD.finditer(text)):
             word = m.group().lower()
+            if word not in right and word.isalnum():
+                continue
             if "-" in word and (joined := hyphened.get(word)):
                 take(*m.span(), "hyphenation", m.group().replace("-", ""))
             for part in PARTS.finditer(m.group()) if not word.isalnum() else (m,):
                 w = part.group().strip(EDGES).lower()
-                new = right.get(w)
-                if new is not None or ODD.match(w) and part.group()[0].islower():
-                    new = new or w
+                if w in right and (part.group()[0].islower() or right[w][0][0] != w) and (new := reader.fitting(right[w], plain[max(0, k - AROUND) : k] + plain[k + 1 : k + 1 + AROUND])):
                     b = part.start() + (m.start() if part is not m else 0)
                     take(b, b + len(w), "characters", new.upper() if part.group().isupper() else new.capitalize() if part.group()[0].isupper() else new)
     return sorted(found)
@@ -233,26 +283,33 @@ def repaired(text: str, found: list[tuple[int, int, str, str]]) -> str:
     return re.sub(r"[^\S\n]{2,}", " ", text).strip()
 
 
-def learn(chunks: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(corrections, compounds, titles) of the corpus."""
-    pairs = cut(counted(chunks))
-    return cut(corrections(pairs)), cut(compounds(pairs)), cut(titles(chunks))
+Learned = tuple[DataFrame, DataFrame, DataFrame, list[tuple[str, str]], DataFrame]
+
+
+def learn(chunks: DataFrame) -> Learned:
+    """(links, compounds, titles, patterns of titles, vectors) of the corpus."""
+    texts = written(sentences(chunks))
+    words = cut(texts.select(F.explode("words").alias("word")).groupBy("word").agg(F.count("*").alias("n")))
+    running = cut(titles(chunks))
+    return cut(links(words)), cut(compounds(words)), running, shapes(running), cut(vectors(texts, words))
 
 
-def repair(chunks: DataFrame, text: str = "text", learned: tuple[DataFrame, DataFrame, DataFrame] | None = None, whole: str | None = None, page: str | None = None) -> DataFrame:
+def repair(chunks: DataFrame, text: str = "text", learned: Learned | None = None, whole: str | None = None, page: str | None = None) -> DataFrame:
     """`chunks` with repaired_text, and traces: an array of {kind, was, now} in order; with `whole`, a column that may hold
     the text under its heading, also repaired_<whole> and <whole>_traces. `page` is the column of the chunk's page number.
 
-    What was learned goes to the tasks as a dictionary while it has at most HELD entries; beyond that each file's titles
-    and each chunk's corrections come to it by joins. Null texts stay null without traces, empty ones empty. Equal texts of
-    a file and page get equal results. Columns of the names added are replaced.
+    Links and compounds go to the tasks as a dictionary while they have at most HELD entries; beyond that each chunk's come
+    to it by joins. A file's titles come by a join, vectors (at most VOCABULARY) to the tasks. Null texts stay null without
+    traces, empty ones empty. Equal texts of a file and page get equal results. Columns of the names added are replaced.
     """
-    right, hyphened, running = learned or learn(chunks)
+    linked, hyphened, running, patterns, trained = learned or learn(chunks)
     made = {"repaired_text": "string", "traces": "array<struct<kind:string,was:string,now:string>>"}
     if whole:
         made |= {f"repaired_{whole}": "string", f"{whole}_traces": made["traces"]}
     base, struct = chunks.drop(*made), f"struct<{','.join(f'{n}:{t}' for n, t in made.items())}>"
     texts_of = (F.col(text), F.col(whole) if whole else F.lit(None).cast("string"), F.col(page).cast("string") if page else F.lit(None).cast("string"))
+    pairs = trained.collect()  # at most VOCABULARY
+    known = chunks.sparkSession.sparkContext.broadcast((patterns, [r.word for r in pairs], np.array([r.vector for r in pairs], dtype=np.float32).reshape(len(pairs), LENGTH)))
 
     def result(t: str, found: list[tuple[int, int, str, str]]) -> tuple:
         return repaired(t, found) if found else t, [{"kind": k, "was": t[b:e], "now": new} for b, e, k, new in found]
@@ -272,28 +329,27 @@ def repair(chunks: DataFrame, text: str = "text", learned: tuple[DataFrame, Data
             return *out, *result(w, both)
         return *out, *result(w, find_traces(w, *known, at))
 
-    if right.count() + hyphened.count() + running.count() <= HELD:
-        by_file = defaultdict(set)
-        for row in running.toLocalIterator():
-            by_file[row.file_id].add(row.title)
-        held = chunks.sparkSession.sparkContext.broadcast(
-            ({x.word: x.right for x in right.toLocalIterator()}, {x.word: x.joined for x in hyphened.toLocalIterator()}, dict(by_file))
-        )
+    here = running.groupBy("file_id").agg(F.collect_list("title").alias("__t"))  # few lines a file
+    base = base.join(F.broadcast(here) if running.count() <= HELD else here, "file_id", "left")
+    rights = linked.groupBy("word").agg(F.collect_list(F.struct("right", "n_right")).alias("to"))  # as many as a word has misreadings
+    if linked.count() + hyphened.count() <= HELD:
+        held = chunks.sparkSession.sparkContext.broadcast(({x.word: [tuple(t) for t in x.to] for x in rights.collect()}, {x.word: x.joined for x in hyphened.collect()}))
 
         @F.pandas_udf(struct)
         def run(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.DataFrame]:
-            r, h, by_file = held.value
-            for files, *columns in batches:
-                done = [mend(*row, r, h, by_file.get(f, set())) for f, *row in zip(files, *columns)]
+            reader = Reader(*known.value)
+            for *columns, here in batches:
+                done = [mend(*row, reader, *held.value, set() if ts is None else set(ts)) for *row, ts in zip(*columns, here)]
                 yield pd.DataFrame(done, columns=list(made))
 
-        return base.withColumn("__m", run(F.col("file_id"), *texts_of)).select("*", "__m.*").drop("__m")
+        return base.withColumn("__m", run(*texts_of, F.col("__t"))).select(*[c for c in chunks.columns if c not in made], "__m.*")
 
     @F.pandas_udf(struct)
     def run_joined(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.DataFrame]:
+        reader = Reader(*known.value)
         for *columns, rights, hyphens, here in batches:
             done = [
-                mend(*row, {} if r is None else {x["word"]: x["right"] for x in r}, {} if h is None else {x["word"]: x["joined"] for x in h}, set() if ts is None else set(ts))
+                mend(*row, reader, {} if r is None else {x["word"]: [(t["right"], t["n_right"]) for t in x["to"]] for x in r}, {} if h is None else {x["word"]: x["joined"] for x in h}, set() if ts is None else set(ts))
                 for *row, r, h, ts in zip(*columns, rights, hyphens, here)
             ]
             yield pd.DataFrame(done, columns=list(made))
@@ -301,16 +357,15 @@ def repair(chunks: DataFrame, text: str = "text", learned: tuple[DataFrame, Data
     @F.pandas_udf("array<string>")
     def distinct_words(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in batches:
-            yield pd.Series([sorted({p for w in WORD.findall((t or "").lower()) for p in (w, w.strip(EDGES), *PARTS.findall(w))} | joints(t or "")) for t in texts], dtype=object)
+            yield pd.Series([sorted({p for w in WORD.findall((t or "").lower()) for p in (w, w.strip(EDGES), *PARTS.findall(w), *(x.strip(EDGES) for x in PARTS.findall(w)))} | joints(t or "")) for t in texts], dtype=object)
 
     used = [text, whole] if whole else [text]
     base = base.withColumn("__row", F.concat_ws("/", F.coalesce(F.col("id"), F.lit("")), F.xxhash64(*used).cast("string")))
     words = base.select("__row", F.explode(F.array(*used)).alias("t")).distinct().select("__row", F.explode(distinct_words(F.col("t"))).alias("word")).distinct()
-    rights = words.join(right.select("word", "right"), "word").groupBy("__row").agg(F.collect_list(F.struct("word", "right")).alias("__r"))
+    of_row = words.join(rights, "word").groupBy("__row").agg(F.collect_list(F.struct("word", "to")).alias("__r"))
     hyphens = words.join(hyphened, "word").groupBy("__row").agg(F.collect_list(F.struct("word", "joined")).alias("__h"))
-    here = running.groupBy("file_id").agg(F.collect_list("title").alias("__t"))
-    joined = base.join(rights, "__row", "left").join(hyphens, "__row", "left").join(here, "file_id", "left")
-    return joined.withColumn("__m", run_joined(*texts_of, F.col("__r"), F.col("__h"), F.col("__t"))).select(*[c for c in base.columns if c != "__row"], "__m.*")
+    joined = base.join(of_row, "__row", "left").join(hyphens, "__row", "left")
+    return joined.withColumn("__m", run_joined(*texts_of, F.col("__r"), F.col("__h"), F.col("__t"))).select(*[c for c in chunks.columns if c not in made], "__m.*")
 
 
 def traces(chunks: DataFrame) -> DataFrame:
