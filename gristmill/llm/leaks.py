@@ -1,18 +1,20 @@
 """Problem 9: evaluation texts that stand, whole or in part, inside corpus documents.
 
 Greedy string tiling: shared runs of a few words are the seeds that join documents to items; for each such pair the
-longest common runs of words that no longer run covers are marked as tiles, found by hashes of their first words
-(Karp-Rabin). Tiles that follow one another in the item's order, with small gaps, make a stretch.
+longest common runs of words that no longer run covers are marked as tiles, found by running hashes of their first words
+(Karp-Rabin) and compared word by word. Tiles that follow one another in the item's order, with small gaps, make a stretch.
 """
 
 from __future__ import annotations
 
 import re
 import unicodedata
-from collections import defaultdict
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -20,12 +22,14 @@ from pyspark.sql import functions as F
 SEED = 4
 #: Words, in the item and in the document, that may be changed, missing or added between two tiles of a stretch.
 GAP = 3
-#: Items a task holds at once: the bound of what is broadcast. More items are taken block by block.
-BLOCK = 5_000
+#: Words of all items that tasks may hold: the bound of what is broadcast. Beyond it documents and items meet by a join of their seeds.
+HELD_WORDS = 2_000_000
 #: Characters without width, and hyphens at which a printed line was parted.
 INVISIBLE = re.compile("[­​-‏⁠﻿]")
 PARTED = re.compile(r"(?<=\w)[-‐¬]\s*\n\s*(?=[a-z])")
 WORD = re.compile(r"[^\W_]+")
+#: Base of the running hash, odd.
+BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
 def words(text: str | None) -> list[str]:
@@ -36,14 +40,41 @@ def words(text: str | None) -> list[str]:
     return WORD.findall("".join(c for c in text if not unicodedata.combining(c)) if not text.isascii() else text)
 
 
+class Codes(dict):
+    """A 64-bit hash for each word, kept while there are at most a million."""
+
+    def __missing__(self, word: str) -> int:
+        if len(self) > 1_000_000:
+            self.clear()
+        code = self[word] = xxhash.xxh64_intdigest(word) - (1 << 63)
+        return code
+
+
+CODES = Codes()
+
+
+def run_hashes(found: list[str], n: int = SEED) -> np.ndarray:
+    """The hash of the n words from each place on, by a running sum of powers: no word is hashed twice."""
+    if len(found) < n:
+        return np.zeros(0, dtype=np.uint64)
+    codes = np.fromiter(map(CODES.__getitem__, found), dtype=np.int64, count=len(found)).view(np.uint64)
+    with np.errstate(over="ignore"):
+        out = np.zeros(len(found) - n + 1, dtype=np.uint64)
+        for k in range(n):  # the same polynomial for each window; n is a handful
+            out = out * BASE + codes[k : k + len(out)]
+    return out
+
+
 def tiles(item: list[str], doc: list[str], least: int = SEED) -> list[tuple[int, int, int]]:
     """(place in the item, place in the document, words) of each tile, by place in the document; no word is in two tiles."""
     seeds = defaultdict(list)
-    for i in range(len(item) - least + 1):
-        seeds[hash(tuple(item[i : i + least]))].append(i)
+    for i, h in enumerate(run_hashes(item, least).tolist()):
+        seeds[h].append(i)
+    hashes = run_hashes(doc, least)
+    places = np.flatnonzero(np.isin(hashes, np.fromiter(seeds, dtype=np.uint64, count=len(seeds))))
     runs = set()
-    for d in range(len(doc) - least + 1):
-        for i in seeds.get(hash(tuple(doc[d : d + least])), ()):
+    for d in places.tolist():
+        for i in seeds[int(hashes[d])]:
             if i and d and item[i - 1] == doc[d - 1] and item[i : i + least - 1] == doc[d : d + least - 1]:
                 continue  # the run began before
             n = 0
@@ -87,47 +118,83 @@ def stretch(found: list[tuple[int, int, int]], gap: int = GAP) -> tuple[int, int
     return best
 
 
-def leaks(docs: DataFrame, items: DataFrame, least_seeds: int = 2) -> DataFrame:
-    """doc_id, item_id, covered, share, span, matched of each pair of document and item with shared seeds.
+PAIRS = "doc_id long, item_id long, covered long, share double, span long, matched long"
+
+
+def tiled(doc: int, w: list[str], item: int, text: list[str]) -> tuple:
+    found = tiles(text, w)
+    n = sum(t[2] for t in found)
+    return (doc, item, n, n / len(text), *stretch(found))
+
+
+def leaks(docs: DataFrame, items: DataFrame, least_seeds: int = 2, held: int = HELD_WORDS) -> DataFrame:
+    """doc_id, item_id, covered, share, span, matched of each pair of document and item with at least `least_seeds` shared seeds (any stretch of 15 words with a changed one has more).
 
     covered: words of the item under tiles, in any order; share: that over the item's words, which also catches reordered
     passages; span and matched: of the best stretch in order. Null and empty texts share nothing. A doc_id that stands
-    twice gives its rows twice. Items must be numbered by a unique item_id; they are held by the tasks BLOCK at a time,
-    documents are read once for each block and never shuffled.
+    twice gives its rows twice. Items must be numbered by a unique item_id. While they have at most `held` words, tasks
+    hold them and documents are read once and never shuffled; beyond that, seeds of both sides meet in a join.
     """
-    n_items = items.count()
-    out = None
-    for block in range(max(1, -(-n_items // BLOCK))):
-        part = items if n_items <= BLOCK else items.where(F.pmod(F.xxhash64("item_id"), F.lit(-(-n_items // BLOCK))) == block)
-        held = docs.sparkSession.sparkContext.broadcast([(r.item_id, words(r.text)) for r in part.select("item_id", "text").toLocalIterator()])
-
-        def run(batches: Iterator[pd.DataFrame], held=held) -> Iterator[pd.DataFrame]:
-            texts, index = {}, defaultdict(set)
-            for item, w in held.value:
-                texts[item] = w
-                for i in range(len(w) - SEED + 1):
-                    index[tuple(w[i : i + SEED])].add(item)
-            for pdf in batches:
-                rows = []
-                for doc, text in zip(pdf["doc_id"], pdf["text"]):
-                    w, seeds = words(text), defaultdict(int)
-                    for gram in zip(w, w[1:], w[2:], w[3:]):
-                        if gram in index:
-                            for item in index[gram]:
-                                seeds[item] += 1
-                    for item, n in seeds.items():
-                        if n >= least_seeds:
-                            found = tiles(texts[item], w)
-                            covered = sum(t[2] for t in found)
-                            rows.append((doc, item, covered, covered / len(texts[item]), *stretch(found)))
-                yield pd.DataFrame(rows, columns=["doc_id", "item_id", "covered", "share", "span", "matched"])
-
-        new = docs.where(F.length("text") > 0).select("doc_id", "text").mapInPandas(run, "doc_id long, item_id long, covered long, share double, span long, matched long")
-        out = new if out is None else out.unionByName(new)
-    return out
+    texts = docs.where(F.length("text") > 0).select("doc_id", "text")
+    size = items.agg(F.sum(F.size(F.split("text", r"\s+")))).first()[0] or 0
+    if size > held:
+        return leaks_by_join(texts, items, least_seeds)
+    known = docs.sparkSession.sparkContext.broadcast([(r.item_id, words(r.text)) for r in items.select("item_id", "text").toLocalIterator()])
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        of_item, index = dict(known.value), defaultdict(list)
+        for item, w in known.value:
+            for h in set(run_hashes(w).tolist()):
+                index[h].append(item)
+        seeds = np.sort(np.fromiter(index, dtype=np.uint64, count=len(index)))
+        for pdf in batches:
+            rows = []
+            for doc, text in zip(pdf["doc_id"], pdf["text"]):
+                w = words(text)
+                hashes = run_hashes(w)
+                at = np.minimum(np.searchsorted(seeds, hashes), max(len(seeds) - 1, 0))
+                shared = Counter(item for h in (hashes[seeds[at] == hashes].tolist() if len(seeds) else ()) for item in index[h])
+                rows += [tiled(doc, w, item, of_item[item]) for item, n in sorted(shared.items()) if n >= least_seeds]
+            yield pd.DataFrame(rows, columns=[c.split()[0] for c in PAIRS.split(", ")])
+
+    return texts.mapInPandas(run, PAIRS)
+
+
+def leaks_by_join(texts: DataFrame, items: DataFrame, least_seeds: int) -> DataFrame:
+    """The same for any number of items: places of seeds are counted for each document and seed, meet those of the items,
+    and only pairs with enough of them get their texts. A seed that many documents have is one row of each; the items'
+    side is spread with it by Spark's skew join.
+    """
+
+    @F.pandas_udf("array<struct<h:long,n:int>>")
+    def seeds_of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for series in batches:
+            yield pd.Series([[{"h": h, "n": n} for h, n in Counter(run_hashes(words(t)).view(np.int64).tolist()).items()] for t in series], dtype=object)
+
+    rows = texts.withColumn("row", F.xxhash64("doc_id", "text"))
+    in_docs = rows.select("row", F.explode(seeds_of(F.col("text"))).alias("s")).select("row", "s.*")
+    in_items = items.where("text is not null").select("item_id", F.explode(seeds_of(F.col("text"))).alias("s")).select("item_id", "s.h")
+    pairs = in_docs.join(in_items, "h").groupBy("row", "item_id").agg(F.sum("n").alias("n")).where(F.col("n") >= least_seeds).select("row", "item_id")
+    both = rows.join(pairs, "row").join(items.select("item_id", F.col("text").alias("item")), "item_id").select("doc_id", "text", "item_id", "item")
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            done = [tiled(d, words(t), i, words(x)) for d, t, i, x in zip(pdf["doc_id"], pdf["text"], pdf["item_id"], pdf["item"])]
+            yield pd.DataFrame(done, columns=[c.split()[0] for c in PAIRS.split(", ")])
+
+    return both.mapInPandas(run, PAIRS)
+
+
+def stretches(found: DataFrame, least: int = 15, least_share: float = 0.7) -> DataFrame:
+    """Pairs with a stretch of at least `least` words of the item, in its order, of which `least_share` are matched."""
+    return found.where((F.col("span") >= least) & (F.col("matched") >= least_share * F.col("span")))
+
+
+def covered(found: DataFrame, least_share: float = 0.6) -> DataFrame:
+    """Pairs whose tiles cover at least `least_share` of the item, in whatever order they stand."""
+    return found.where(F.col("share") >= least_share)
 
 
 def leaked(docs: DataFrame, items: DataFrame, least: int = 15, least_share: float = 0.7) -> DataFrame:
     """doc_id, item_id: a stretch of at least `least` words of the item, in its order, of which `least_share` are matched."""
-    found = leaks(docs, items)
-    return found.where((F.col("span") >= least) & (F.col("matched") >= least_share * F.col("span"))).select("doc_id", "item_id").distinct()
+    return stretches(leaks(docs, items), least, least_share).select("doc_id", "item_id").distinct()

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gristmill import params
 from gristmill.llm import chunks, leaks, pii, scans, survivors, tokens, truncation
 from gristmill.sources.tables import table
 
@@ -34,7 +35,7 @@ def p5_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p5_redacted(spark: SparkSession, d: str) -> DataFrame:
-    return pii.redact(table(spark, d, "section_chunk"))
+    return pii.redact(table(spark, d, "section_chunk"), params.setting(spark, "pii_key", "key of the registered query").encode())
 
 
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
@@ -55,10 +56,16 @@ def p9_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p9_report(spark: SparkSession, d: str) -> DataFrame:
-    found = leaks.leaks(table(spark, d, "documents"), table(spark, d, "benchmark")).where("span >= 15 and matched >= 0.7 * span")
+    found = leaks.stretches(leaks.leaks(table(spark, d, "documents"), table(spark, d, "benchmark")))
     return found.groupBy("item_id").agg(F.countDistinct("doc_id").alias("n_documents"), F.round(F.max("share"), 4).alias("most_covered"))
 
 
+def p9_covered(spark: SparkSession, d: str) -> DataFrame:
+    """Items of which documents cover most, also where passages stand in another order or between other text."""
+    found = leaks.covered(leaks.leaks(table(spark, d, "documents"), table(spark, d, "benchmark")))
+    return found.select("doc_id", "item_id", F.round("share", 4).alias("share"), "covered", "span").distinct()
+
+
 def p10_found(spark: SparkSession, d: str) -> DataFrame:
     return truncation.truncated(table(spark, d, "documents"))
 
@@ -68,10 +75,10 @@ def p10_report(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
-    q.__name__: q for q in (p3_found, p3_current, p4_found, p4_pieces, p5_found, p5_redacted, p6_found, p6_repaired, p8_ids, p9_found, p9_report, p10_found, p10_report)
+    q.__name__: q for q in (p3_found, p3_current, p4_found, p4_pieces, p5_found, p5_redacted, p6_found, p6_repaired, p8_ids, p9_found, p9_report, p9_covered, p10_found, p10_report)
 }
 
-_NO_VALUE = "('','-','--','?','n/a','na','#n/a','nan','null','none','nil','unknown','not provided','not available','not known','missing','pending','tbd','tbc','undefined','reg-xxxxxx')"
+_NO_VALUE = "('','-','--','?','n/a','na','#n/a','nan','null','none','nil','unknown','not provided','not available','not known','missing','pending','tbd','tbc','undefined')"
 _NO_NUMBER = "(-1,0,-999,-9999,999999,9999999)"
 _SPELLED = "lower(regexp_replace({c}, '^[\\s\\x{{A0}}]+|[\\s\\x{{A0}}]+$', '', 'g'))"
 
@@ -87,13 +94,15 @@ step AS (SELECT k, CASE WHEN b.n >= 3 * n OR n <= 2 THEN b.k ELSE k END AS vendo
 vendors AS (SELECT s.k, coalesce(t.vendor, s.vendor) AS vendor FROM step s LEFT JOIN step t ON s.vendor = t.k),
 ranked AS (
   SELECT r.id, count(*) OVER g AS n, row_number() OVER (PARTITION BY coalesce(v.vendor, r.k), field_name ORDER BY
-    CASE WHEN coalesce({_SPELLED.format(c='value')} NOT IN {_NO_VALUE} OR (field_name = 'liability_cap_status' AND {_SPELLED.format(c='value')} = 'unknown'), FALSE) THEN 0 ELSE 1 END,
+    CASE WHEN coalesce({_SPELLED.format(c='value')} NOT IN {_NO_VALUE} AND NOT (field_name = 'registration_number' AND regexp_full_match(value, 'REG-(X+|0+)')) OR (field_name = 'liability_cap_status' AND {_SPELLED.format(c='value')} = 'unknown'), FALSE) THEN 0 ELSE 1 END,
     coalesce(confidence, -1) DESC, extracted_at DESC NULLS LAST, id) AS rn
   FROM rows r LEFT JOIN vendors v ON r.k = v.k WINDOW g AS (PARTITION BY coalesce(v.vendor, r.k), field_name)
+), crowd AS (
+  SELECT {_SPELLED.format(c='registration_number')} AS v FROM procurement_export_batch1 WHERE registration_number IS NOT NULL GROUP BY 1 HAVING count(DISTINCT entity_key) >= greatest(20, 0.01 * (SELECT count(DISTINCT entity_key) FROM procurement_export_batch1))
 ), batch AS (
   SELECT record_id, count(*) OVER (PARTITION BY file_id, entity_key) AS n, row_number() OVER (PARTITION BY file_id, entity_key ORDER BY
     coalesce((employee_count NOT IN {_NO_NUMBER})::int, 0) + coalesce((NOT isnan(region_code) AND region_code NOT IN {_NO_NUMBER})::int, 0)
-    + coalesce(({_SPELLED.format(c='compliance_flag')} NOT IN {_NO_VALUE})::int, 0) + coalesce(({_SPELLED.format(c='registration_number')} NOT IN {_NO_VALUE})::int, 0) DESC,
+    + coalesce(({_SPELLED.format(c='compliance_flag')} NOT IN {_NO_VALUE})::int, 0) + coalesce(({_SPELLED.format(c='registration_number')} NOT IN {_NO_VALUE} AND {_SPELLED.format(c='registration_number')} NOT IN (SELECT v FROM crowd) AND NOT regexp_full_match(registration_number, 'REG-(X+|0+)'))::int, 0) DESC,
     coalesce(try_strptime(updated_at, '%Y-%m-%d'), try_strptime(updated_at, '%Y/%m/%d'), try_strptime(updated_at, '%d.%m.%Y'), try_strptime(updated_at, '%d %b %Y'), try_strptime(updated_at, '%Y-%m-%dT%H:%M:%S'))::date DESC NULLS LAST, record_id) AS rn
   FROM procurement_export_batch1 WHERE file_id IS NOT NULL AND entity_key IS NOT NULL
 )

@@ -4,6 +4,7 @@ import base64
 import random
 import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -58,6 +59,13 @@ def test_chunks_cover_the_text_within_the_limit(spark):
     assert chunks.split_oversized(df.where("false")).count() == 0
 
 
+def test_landmarks_equal_brute_force():
+    rng = random.Random(3)
+    for n, reach in ((1, 3), (7, 3), (200, 5), (333, 20)):
+        marks = np.array([rng.randint(1, 1 << 60) for _ in range(n)], dtype=np.uint64)
+        assert chunks.landmarks(marks, reach).tolist() == [i for i in range(n) if marks[i] == marks[max(0, i - reach) : i + reach + 1].max()]
+
+
 def test_an_edit_changes_only_neighbouring_pieces():
     rng = random.Random(2)
     text = " ".join("".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 9))) + ("." if rng.random() < 0.1 else "") for _ in range(5000))
@@ -83,11 +91,38 @@ def test_details_are_found_and_decoys_left(spark):
     for t in ("Order 10-936-8 was merged.", "from 2026-02-12 to 2026-02-22", "billed @ 51 per unit", "The meter read 44 695 8 at handover", "The Lund Street project is closed.", "REG-686371 and CTR-83831", "Lund Catering Ltd", "EUR 283,000"):
         assert finder.find(t) == [], t
     df = spark.createDataFrame([("1", "f", None, "Call 792.555.0188 now, not 776/555-0167.", None, 1), ("2", "f", None, "It was 792.555.0188 again", "", 1), ("3", "f", None, None, None, None)], CHUNK)
-    got = {r.id: r for r in pii.redact(df).collect()}
+    got = {r.id: r for r in pii.redact(df, b"k").collect()}
     assert re.fullmatch(r"Call \[PHONE \d{3}\.\d{3}\.\d{4}\] now, not \[PHONE \d{3}/\d{3}-\d{4}\]\.", got["1"].text) and got["1"].text[5:25] == got["2"].text[7:27] and got["3"].text is None
     assert sorted(map(tuple, pii.details(df).collect())) == [("1", "phone"), ("2", "phone")] and pii.details(df.where("false")).count() == 0
 
 
+def test_names_in_no_list_are_found_by_learned_contexts(spark):
+    known = ["Anna Lund", "Peter Moss", "Maria Velk", "Karl Oss", "Lisa Bram", "Hugo Zent"] * 10
+    texts = [f"The lot was approved by {n} at{i} once{i}." for i, n in enumerate(known)] + [f"was{i} it{i} {n} signs on behalf of the firm." for i, n in enumerate(known)] + [f"It was sold to {x} again." for x in ("Brunmark Port", "Estmark Bay", "Anna Lund")]
+    texts += ["It was approved by Ngozi Okafor.", "approved by Ngozi Adeyemi, then", "They heard that Ngozi Eze called.", "Then Bjorn Haugen signs on behalf of us.", "It was approved by The Board of the firm", "It was sold to Estmark Hall."]
+    texts += ["approved by Ngozi Musa. Done", None, ""]
+    df = spark.createDataFrame([(f"{i:03d}", "f", None, t, None, 1) for i, t in enumerate(texts)], CHUNK)
+    contexts, given = pii.learn_names(df)
+    assert contexts == ["< approved by", "> signs on"] and given == ["Ngozi"]
+    names = {r.id for r in pii.details(df).collect() if r.kind == "name"}
+    assert names == {f"{i:03d}" for i in [*range(120), 122, 123, 124, 125, 126, 129]}
+    assert pii.learn_names(df.where("false")) == ([], [])
+
+
+def test_numbers_and_dates_stay_valid():
+    finder = pii.Finder()
+    kinds = lambda t: [(t[b:e], k) for b, e, k in finder.find(t)]
+    assert kinds("Card 4111 1111 1111 1111 and 4111 1111 1111 1112") == [("4111 1111 1111 1111", "card_number")]
+    assert kinds("to GB82 WEST 1234 5698 7654 32 or GB83 WEST 1234 5698 7654 32 today") == [("GB82 WEST 1234 5698 7654 32", "account_number")]
+    assert kinds("She was born on 03.11.1978, in Lund") == [("03.11.1978", "date_of_birth")]
+    new = {pii.permuted(f"4111 1111 1111 {i:04d}", "card_number", b"k") for i in range(10000) if pii.luhn(f"4111 1111 1111 {i:04d}")}
+    assert len(new) == 1000 and all(pii.luhn(v) and re.fullmatch(r"\d{4}( \d{4}){3}", v) for v in new)
+    assert pii.valid(pii.permuted("123-45-6789", "identity_number", b"k"), "identity_number") and not pii.valid(pii.permuted("923-45-6789", "identity_number", b"k"), "identity_number")
+    days = {pii.permuted_date(f"{d:02d}.{m:02d}.1980", b"k") for m in range(1, 13) for d in range(1, 29)}
+    assert len(days) == 336 and all(re.fullmatch(r"\d\d\.\d\d\.(?:19|20)\d\d", d) for d in days) and pii.permuted_date("31.02.1980", b"k") is None
+    assert pii.placeholder("1980-02-03", "date_of_birth", b"k") != pii.placeholder("1980-02-03", "date_of_birth", b"l")
+
+
 def test_feistel_is_a_permutation():
     for size in (7, 100, 1000):
         assert sorted(pii.feistel(i, size, b"k", b"t") for i in range(size)) == list(range(size))
@@ -109,11 +144,11 @@ def scan_corpus(spark):
 def test_scans_are_repaired(spark, monkeypatch):
     df = scan_corpus(spark)
     got = {}
-    for held in (scans.HELD, 0):
+    for held in (500_000, 0):
         monkeypatch.setattr(scans, "HELD", held)
         rows = {r.id: r for r in scans.repair(df.withColumn("traces", F.lit(1))).collect()}
         got[held] = {i: (r.repaired_text, [tuple(t) for t in r.traces]) for i, r in rows.items()}
-    assert got[scans.HELD] == got[500_000]
+    assert got[0] == got[500_000]
     got = got[0]
     kinds = {i: {t[0] for t in ts} for i, (_, ts) in got.items()}
     assert kinds["a"] == {"hyphenation", "characters", "header"} and kinds["b"] == {"header", "page_number", "hyphenation", "characters"}
@@ -122,6 +157,43 @@ def test_scans_are_repaired(spark, monkeypatch):
     assert scans.traces(df.where("false")).count() == 0
 
 
+def test_linked_words_are_chosen_by_the_words_around():
+    rows = np.array([[1, 0], [0, 1], [1, 0.1], [0.1, 1], [-1, -1]], dtype=np.float32)
+    reader = scans.Reader([], ["clear", "dear", "sky", "friend", "tax"], rows)
+    linked = [("clear", 50), ("dear", 40), ("rear", 900)]
+    assert reader.fitting(linked, ["a", "sky"]) == "clear" and reader.fitting(linked, ["friend"]) == "dear"
+    assert reader.fitting(linked, ["tax"]) is None and reader.fitting(linked, ["nothing", "known"]) == "rear"
+    found = scans.find_traces("my dcar friend", reader, {"dcar": [("dear", 40), ("clear", 50)]}, {}, set())
+    assert found == [(3, 7, "characters", "dear")]
+
+
+def test_vectors_bring_words_of_like_use_together(spark):
+    rng = random.Random(5)
+    fruit, metal = [f"fruit{c}" for c in "abcdefgh"], [f"metal{c}" for c in "abcdefgh"]
+    texts = [" ".join(x for w in rng.choices(kind, k=40) for x in (w, "and")) for kind in (fruit, metal) for _ in range(150)]
+    many = [f"other{i % 997}" for i in range(30000)]
+    df = spark.createDataFrame([(t.split(),) for t in texts] + [(many[i : i + 100],) for i in range(0, 30000, 100)], "words array<string>")
+    words = df.select(F.explode("words").alias("word")).groupBy("word").agg(F.count("*").alias("n"))
+    monkey = scans.COMMON
+    scans.COMMON = 0.05
+    try:
+        v = {r.word: np.array(r.vector) for r in scans.vectors(df, words).collect()}
+        few = scans.vectors(df, words, most=10).count()
+    finally:
+        scans.COMMON = monkey
+    near = lambda a, b: float(v[a] @ v[b] / np.linalg.norm(v[a]) / np.linalg.norm(v[b]))
+    assert "and" not in v and near("fruita", "fruitb") > near("fruita", "metala") and few <= 16
+    assert scans.vectors(df.where("false"), words.where("false")).count() == 0
+
+
+def test_shapes_of_titles_are_learned_over_files(spark):
+    made = [(f"f{i}", f"frame contract ctr-{i:06d} rev. {'abc'[i % 3]}") for i in range(30)] + [(f"g{i}", f"{n} / general conditions / 20{i:02d}") for i, n in enumerate(["acme tools ltd", "north sea fish", "kelp", "blue", "red moon works"])] + [("h", "a title of its own")]
+    found = scans.Titles(scans.shapes(spark.createDataFrame(made, "file_id string, title string")))
+    hit = lambda t: [m.group() for p in found.of(t.lower()) for m in p.finditer(t)]
+    assert hit("amid Frame contract CTR-999999 rev. b text") == ["Frame contract CTR-999999 rev. b"] and hit("Violet Crumble Inc / General conditions / 2031") == ["Violet Crumble Inc / General conditions / 2031"]
+    assert hit("the general conditions of a frame contract") == [] and scans.shapes(spark.createDataFrame([], "file_id string, title string")) == []
+
+
 def test_full_sections_are_repaired(spark, monkeypatch, tmp_path):
     from gristmill.llm import queries
 
@@ -165,7 +237,7 @@ def test_tiles_equal_brute_force():
         assert sum(n for _, _, n in got) == brute(a, b, 3) and all(a[i : i + n] == b[j : j + n] for i, j, n in got)
 
 
-def test_leaks(spark, monkeypatch):
+def test_leaks(spark):
     rng = random.Random(6)
     vocabulary = [f"w{i}x" for i in range(500)]
     items = {k: [rng.choice(vocabulary) for _ in range(40)] for k in range(8)}
@@ -177,11 +249,19 @@ def test_leaks(spark, monkeypatch):
     d, i = spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame([(k, " ".join(w)) for k, w in items.items()] + [(99, None)], "item_id bigint, text string")
     want = {(1, 1), (2, 1), (6, 1), (6, 2)}
     assert {tuple(r) for r in leaks.leaked(d, i).collect()} == want
-    monkeypatch.setattr(leaks, "BLOCK", 3)
-    assert {tuple(r) for r in leaks.leaked(d, i).collect()} == want
+    joined = leaks.leaks(d, i, held=0)
+    assert sorted(map(str, joined.collect())) == sorted(map(str, leaks.leaks(d, i).collect())) and {(r.doc_id, r.item_id) for r in leaks.stretches(joined).collect()} == want
+    moved = spark.createDataFrame([(20, " ".join([*a[30:40], "between", *a[15:30], "and", *a[5:14]]))], "doc_id bigint, text string")
+    assert leaks.leaked(moved, i).count() == 1 and [(r.doc_id, r.item_id, r.covered) for r in leaks.covered(leaks.leaks(moved, i)).collect()] == [(20, 1, 34)]
     assert leaks.leaked(d, i.where("false")).count() == 0 and leaks.leaked(d.where("false"), i).count() == 0
 
 
+def test_running_hashes():
+    a = "to be or not to be that is the question to be or not".split()
+    h = leaks.run_hashes(a, 4)
+    assert len(h) == len(a) - 3 and all((h[i] == h[j]) == (a[i : i + 4] == a[j : j + 4]) for i in range(len(h)) for j in range(len(h))) and len(leaks.run_hashes(a[:3], 4)) == 0
+
+
 # ---- 10: truncation
 def test_truncation(spark):
     rng = random.Random(8)
