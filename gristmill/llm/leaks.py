@@ -65,23 +65,25 @@ def run_hashes(found: list[str], n: int = SEED) -> np.ndarray:
     return out
 
 
-def tiles(item: list[str], doc: list[str], least: int = SEED) -> list[tuple[int, int, int]]:
-    """(place in the item, place in the document, words) of each tile, by place in the document; no word is in two tiles."""
-    seeds = defaultdict(list)
+def shared_seeds(item: list[str], doc: list[str], least: int = SEED) -> list[tuple[int, int]]:
+    """(place in the item, place in the document) of each seed that both have, by their hashes."""
+    places = defaultdict(list)
     for i, h in enumerate(run_hashes(item, least).tolist()):
-        seeds[h].append(i)
-    hashes = run_hashes(doc, least)
-    places = np.flatnonzero(np.isin(hashes, np.fromiter(seeds, dtype=np.uint64, count=len(seeds))))
+        places[h].append(i)
+    return [(i, d) for d, h in enumerate(run_hashes(doc, least).tolist()) for i in places.get(h, ())]
+
+
+def tiles(item: list[str], doc: list[str], least: int = SEED, seeds: list[tuple[int, int]] | None = None) -> list[tuple[int, int, int]]:
+    """(place in the item, place in the document, words) of each tile, by place in the document; no word is in two tiles. seeds: as shared_seeds gives them, if known."""
     runs = set()
-    for d in places.tolist():
-        for i in seeds[int(hashes[d])]:
-            if i and d and item[i - 1] == doc[d - 1] and item[i : i + least - 1] == doc[d : d + least - 1]:
-                continue  # the run began before
-            n = 0
-            while i + n < len(item) and d + n < len(doc) and item[i + n] == doc[d + n]:
-                n += 1
-            if n >= least:
-                runs.add((n, i, d))
+    for i, d in shared_seeds(item, doc, least) if seeds is None else seeds:
+        if i and d and item[i - 1] == doc[d - 1] and item[i : i + least - 1] == doc[d : d + least - 1]:
+            continue  # the run began before
+        n = 0
+        while i + n < len(item) and d + n < len(doc) and item[i + n] == doc[d + n]:
+            n += 1
+        if n >= least:
+            runs.add((n, i, d))
     out, in_item, in_doc, queue = [], [False] * len(item), [False] * len(doc), sorted(runs, key=lambda r: (-r[0], r[1], r[2]))
     while queue:
         n, i, d = queue.pop(0)
@@ -121,8 +123,8 @@ def stretch(found: list[tuple[int, int, int]], gap: int = GAP) -> tuple[int, int
 PAIRS = "doc_id long, item_id long, covered long, share double, span long, matched long"
 
 
-def tiled(doc: int, w: list[str], item: int, text: list[str]) -> tuple:
-    found = tiles(text, w)
+def tiled(doc: int, w: list[str], item: int, text: list[str], seeds: list[tuple[int, int]] | None = None) -> tuple:
+    found = tiles(text, w, seeds=seeds)
     n = sum(t[2] for t in found)
     return (doc, item, n, n / len(text), *stretch(found))
 
@@ -144,8 +146,8 @@ def leaks(docs: DataFrame, items: DataFrame, least_seeds: int = 2, held: int = H
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         of_item, index = dict(known.value), defaultdict(list)
         for item, w in known.value:
-            for h in set(run_hashes(w).tolist()):
-                index[h].append(item)
+            for i, h in enumerate(run_hashes(w).tolist()):
+                index[h].append((item, i))
         seeds = np.sort(np.fromiter(index, dtype=np.uint64, count=len(index)))
         for pdf in batches:
             rows = []
@@ -153,8 +155,11 @@ def leaks(docs: DataFrame, items: DataFrame, least_seeds: int = 2, held: int = H
                 w = words(text)
                 hashes = run_hashes(w)
                 at = np.minimum(np.searchsorted(seeds, hashes), max(len(seeds) - 1, 0))
-                shared = Counter(item for h in (hashes[seeds[at] == hashes].tolist() if len(seeds) else ()) for item in index[h])
-                rows += [tiled(doc, w, item, of_item[item]) for item, n in sorted(shared.items()) if n >= least_seeds]
+                shared = defaultdict(list)
+                for d in np.flatnonzero(seeds[at] == hashes).tolist() if len(seeds) else ():
+                    for item, i in index[int(hashes[d])]:
+                        shared[item].append((i, d))
+                rows += [tiled(doc, w, item, of_item[item], found) for item, found in sorted(shared.items()) if len({d for _, d in found}) >= least_seeds]
             yield pd.DataFrame(rows, columns=[c.split()[0] for c in PAIRS.split(", ")])
 
     return texts.mapInPandas(run, PAIRS)
