@@ -56,6 +56,11 @@ def cell(fields: Fields, c: str, shared: dict[str, tuple[str, ...]] | None = Non
     return F.when(has_text(F.col(c)), spelled(F.col(c)))
 
 
+def copy_of(fields: Fields) -> Column:
+    """A hash of all cells of a row that its fills depend on."""
+    return F.xxhash64(*(F.col(c) for c in (fields.key, fields.time, *fields.filled, *fields.features)))
+
+
 def k_prototypes(points: DataFrame, numbers: tuple[str, ...], categories: tuple[str, ...], k: int = 12, rounds: int = 6, gamma: float = 0.8) -> Callable[[DataFrame], DataFrame]:
     """A function that adds `cluster`, 0 .. k - 1, to rows that have the columns of `points`: their nearest prototype; null for a row without any feature.
 
@@ -113,16 +118,17 @@ def central(counted: DataFrame, fields: Fields, *by: str) -> DataFrame:
 
 
 def fills(df: DataFrame, fields: Fields, k: int = 12, own_only: bool = False) -> DataFrame:
-    """row (as long), field_name, filled_value (string), method of each missing cell; with `own_only`, of those that the vendor's own records fill.
+    """row (as long), copy, field_name, filled_value (string), method of each missing cell; with `own_only`, of those that the vendor's own records fill.
 
     method is one of METHODS: `none` where no donor exists. A cell is missing if it is null, NaN, or only stands for no
     value; what an identifier column holds for far too many vendors stands for none. Numbers get the median of the records,
     all else the most frequent value, ties the smallest. Vendors go by their key exactly as written; rows without a key
     take part in no vendor but in the fallback over clusters and all records. Rows without a date share one quarter.
+    copy is copy_of() the row: rows of one id, or of none, that differ are told apart by it.
     """
     texts = {c: cell(fields, c) for c in (*fields.filled, *fields.features)}
     rows = df.select(
-        F.col(fields.row).cast("long").alias("row"), F.col(fields.key).alias("key"), F.coalesce(F.date_trunc("quarter", date_of(F.col(fields.time))).cast("date"), F.lit(UNDATED).cast("date")).alias("quarter"),
+        F.col(fields.row).cast("long").alias("row"), copy_of(fields).alias("copy"), F.col(fields.key).alias("key"), F.coalesce(F.date_trunc("quarter", date_of(F.col(fields.time))).cast("date"), F.lit(UNDATED).cast("date")).alias("quarter"),
         *(texts[c].cast("double" if c in fields.numbers else "string").alias(c) for c in texts),
     )
     kinds = (*fields.codes, *fields.features, *fields.categories)
@@ -140,12 +146,12 @@ def fills(df: DataFrame, fields: Fields, k: int = 12, own_only: bool = False) ->
     donors = central(own, fields, "key").select("key", F.col("field_name").alias("name"), "value").unionByName(central(own.where("cluster is not null"), fields, "key", "cluster").select("key", F.concat("cluster", F.lit("|"), "field_name").alias("name"), "value"))
     donors = donors.groupBy("key").agg(F.map_from_entries(F.collect_list(F.struct("name", "value"))).alias("own"))  # (k + 1) entries a field at most
     gone = F.array_compact(F.array(*(F.when(F.col(c).isNull() | (spelled(F.col(c)).isin(*shared[c]) if shared.get(c) else F.lit(False)), F.lit(c)) for c in fields.filled)))
-    missing = cut(rows.select("row", "key", "cluster", "quarter", gone.alias("fields")).where(F.size("fields") > 0))
-    found = split_join(missing, donors, "key").select("row", "cluster", "quarter", "own", F.explode("fields").alias("field_name"))
+    missing = cut(rows.select("row", "copy", "key", "cluster", "quarter", gone.alias("fields")).where(F.size("fields") > 0))
+    found = split_join(missing, donors, "key").select("row", "copy", "cluster", "quarter", "own", F.explode("fields").alias("field_name"))
     like, any_ = F.try_element_at("own", F.concat("cluster", F.lit("|"), "field_name")), F.try_element_at("own", F.col("field_name"))
-    found = found.select("row", "cluster", "quarter", "field_name", F.coalesce(like, any_).alias("filled_value"), F.when(like.isNotNull(), OWN[0]).when(any_.isNotNull(), OWN[1]).alias("method"))
+    found = found.select("row", "copy", "cluster", "quarter", "field_name", F.coalesce(like, any_).alias("filled_value"), F.when(like.isNotNull(), OWN[0]).when(any_.isNotNull(), OWN[1]).alias("method"))
     if own_only:
-        return found.where("method is not null").select("row", "field_name", "filled_value", "method")
+        return found.where("method is not null").select("row", "copy", "field_name", "filled_value", "method")
 
     others = counted.where(~F.col("field_name").isin(*fields.identifiers)) if fields.identifiers else counted
     others = cut(others.groupBy("cluster", "quarter", "field_name", "value").agg(F.sum("n").alias("n")))
@@ -154,19 +160,23 @@ def fills(df: DataFrame, fields: Fields, k: int = 12, own_only: bool = False) ->
     found = found.join(F.broadcast(central(others, fields, "cluster").withColumnRenamed("value", "v1")), ["cluster", "field_name"], "left")
     found = found.join(F.broadcast(central(others, fields).withColumnRenamed("value", "v2")), ["field_name"], "left")
     method = F.coalesce("method", *(F.when(F.col(f"v{i}").isNotNull(), F.lit(m)) for i, m in enumerate(METHODS[2:5])), F.lit(METHODS[5]))
-    return found.select("row", "field_name", F.coalesce("filled_value", "v0", "v1", "v2").alias("filled_value"), method.alias("method"))
+    return found.select("row", "copy", "field_name", F.coalesce("filled_value", "v0", "v1", "v2").alias("filled_value"), method.alias("method"))
 
 
 def fill_missing(df: DataFrame, fields: Fields, k: int = 12) -> DataFrame:
-    """The same records with missing cells filled, each column in its own type, and `<column>_method` for each: null where the cell had a value."""
-    wide = fills(df, fields, k).groupBy(F.col("row").alias("__row")).agg(F.map_from_entries(F.collect_list(F.struct("field_name", F.struct("filled_value", "method")))).alias("__f"))
-    out = df.join(wide, F.col(fields.row).cast("long") == F.col("__row"), "left")
+    """The same records with missing cells filled, each column in its own type, and `<column>_method` for each: null where the cell had a value.
+
+    Rows that share an id, or have none, are filled each by its own cells; rows that repeat come out as often as they came in.
+    """
+    held = F.array_sort(F.collect_set(F.struct("field_name", "filled_value", "method")))  # of repeated rows one entry a field
+    wide = fills(df, fields, k).groupBy(F.col("row").alias("__row"), F.col("copy").alias("__copy")).agg(F.map_from_entries(F.transform(held, lambda x: F.struct(x["field_name"], F.struct(x["filled_value"].alias("filled_value"), x["method"].alias("method"))))).alias("__f"))
+    out = df.join(wide, F.col(fields.row).cast("long").eqNullSafe(F.col("__row")) & (copy_of(fields) == F.col("__copy")), "left")
     types = dict(df.dtypes)
     for c in fields.filled:
         f = F.try_element_at("__f", F.lit(c))
         value = f["filled_value"] if types[c] == "string" else F.round(f["filled_value"].try_cast("double")).cast(types[c])
         out = out.withColumn(f"{c}_method", f["method"]).withColumn(c, F.when(f.isNotNull(), value).otherwise(F.col(c)))
-    return out.drop("__row", "__f")
+    return out.drop("__row", "__copy", "__f")
 
 
 def fillable(procurement: DataFrame, finance: DataFrame) -> DataFrame:

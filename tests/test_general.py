@@ -43,6 +43,19 @@ def test_fill(spark):
     assert ("finance_extract", 2, "registration_number") in found and ("procurement_export_batch1", 4, "employee_count") not in found
 
 
+def test_repeated_rows_and_rows_without_id_are_filled_by_their_own_cells(spark):
+    kind = "record_id long, file_id string, entity_key string, source_system string, employee_count long, region_code double, compliance_flag string, registration_number string, updated_at string"
+    full = (1, "f", "VENAAAAAA", "s", 7, 2.0, "Y", "REG-123456", "2024-01-05")
+    gap = (1, "f", "VENAAAAAA", "s", None, 2.0, None, "REG-123456", "2024-01-05")
+    other = (1, "f", "VENBBBBBB", "s", 90, 4.0, "N", None, "2024-01-05")
+    rows = [full, gap, gap, other, (None, *gap[1:])]
+    out = fill.fill_missing(spark.createDataFrame(rows, kind), fill.PROCUREMENT).collect()
+    assert len(out) == len(rows)
+    assert sorted((r.entity_key, r.employee_count, r.employee_count_method is not None) for r in out) == [("VENAAAAAA", 7, False), *[("VENAAAAAA", 7, True)] * 3, ("VENBBBBBB", 90, False)]
+    assert [r.registration_number_method for r in out if r.entity_key == "VENBBBBBB"] == ["none"]
+    assert all(r.compliance_flag.upper() == "Y" for r in out if r.entity_key == "VENAAAAAA")
+
+
 def test_fill_takes_the_median_of_records(spark):
     held = [10] * 7 + [900, 950]  # of the different values, the median is 900
     data = [(i, "f", "A", "s", v, 1.0, "clear", None, "2026-01-01", "c", "r") for i, v in enumerate(held)]
