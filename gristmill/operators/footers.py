@@ -1,8 +1,8 @@
 """Problem 7: column profiles from Parquet footers, with a scan of only what the footers can't tell.
 
 Tasks read footers: exact null counts, extrema, encodings. A text column of a file whose row groups hold one load each
-needs no values: nulls and extrema come from the footer, and its dictionary has the candidates for distinct values where
-all pages are encoded by it. Whole tables have nulls and extrema from footers alone. What is left, file by file and column
+needs no values: nulls and extrema come from the footer, and its dictionary has the candidates for distinct values, of
+which those count that a row holds. Whole tables have nulls and extrema from footers alone. What is left, file by file and column
 by column, is scanned by Spark, with only those columns read. All parts are summed up for each load and column.
 """
 
@@ -18,8 +18,10 @@ from pyspark.sql import functions as F
 from gristmill.functions.values import has_number, has_text, spelled
 from gristmill.sources.tables import cut, spread
 
-FOOTER = "path string, row_group int, column string, rows long, nulls long, low string, high string, exact boolean, all_dictionary boolean, load_low string, load_high string, type string"
+FOOTER = "path string, row_group int, column string, rows long, nulls long, low string, high string, exact boolean, all_dictionary boolean, load_low string, load_high string, type string, stored string"
 PART = "load string, column string, type string, rows long, nulls long, nan long, low string, high string, value string, read string"
+#: Columns that only key a row: the record and its load. Profiles have them where they are asked for.
+KEYS = ("record_id", "file_id")
 #: A text extremum of this length may have been cut off by its writer, unless the footer says it is exact.
 CUT_FROM = 64
 #: Shifts: a load departs if its distance from the pooled distribution exceeds the loads' median distance by FAR typical deviations and by LEAST.
@@ -43,7 +45,7 @@ def opened(path: str, dictionary: tuple[str, ...] = ()):
 
 
 def footers(spark: SparkSession, path: str, load: str = "file_id") -> DataFrame:
-    """A row for each chunk: nulls and extrema as the footer has them, null where it doesn't or where a cut-off extremum isn't exact."""
+    """A row for each chunk: nulls and extrema as the footer has them, null where it doesn't or where a cut-off extremum isn't exact; stored is the type as the file has it, all_dictionary whether it is text with a dictionary."""
 
     def whole(s) -> bool:
         """Whether both extrema are what the chunk holds: as the footer says, else by their length."""
@@ -56,6 +58,7 @@ def footers(spark: SparkSession, path: str, load: str = "file_id") -> DataFrame:
         for pdf in batches:
             for file in pdf["path"]:
                 meta, rows = opened(file).metadata, []
+                logical = {c.path: c.logical_type for c in (meta.schema.column(i) for i in range(meta.num_columns))}
                 for g in range(meta.num_row_groups):
                     group = meta.row_group(g)
                     chunks = {group.column(i).path_in_schema: group.column(i) for i in range(group.num_columns)}
@@ -67,7 +70,8 @@ def footers(spark: SparkSession, path: str, load: str = "file_id") -> DataFrame:
                         exact = s is not None and whole(s)
                         pages = "RLE_DICTIONARY" in c.encodings or "PLAIN_DICTIONARY" in c.encodings
                         kind = "numeric" if c.physical_type in {"INT32", "INT64", "FLOAT", "DOUBLE"} else "boolean" if c.physical_type == "BOOLEAN" else "text"
-                        rows.append((file, g, name, group.num_rows, s.null_count if known else None, str(s.min) if ends else None, str(s.max) if ends else None, exact, pages and c.has_dictionary_page, *span, kind))
+                        text = c.physical_type == "BYTE_ARRAY" and logical[name].type == "STRING"
+                        rows.append((file, g, name, group.num_rows, s.null_count if known else None, str(s.min) if ends else None, str(s.max) if ends else None, exact, text and pages and c.has_dictionary_page, *span, kind, f"{c.physical_type} {logical[name]}"))
                 yield pd.DataFrame(rows, columns=[c.split()[0] for c in FOOTER.split(", ")])
 
     return spread(parquet_files(spark, path), "path").mapInPandas(run, FOOTER)
@@ -109,18 +113,21 @@ def scanned(df: DataFrame, columns: list[str], load: str) -> DataFrame:
     )
 
 
-def parts(spark: SparkSession, path: str, load: str = "file_id", skip: tuple[str, ...] = ("record_id",)) -> DataFrame:
+def parts(spark: SparkSession, path: str, load: str = "file_id", skip: tuple[str, ...] | None = None) -> DataFrame:
     """Counts and extrema of each load and column in parts, and a row for each different value.
 
     read tells where a part came from: `dictionary` for a chunk whose values came from its dictionary and counts from its
     footer, `chunk` for what Spark scanned. Only text columns have dictionaries that can be read alone; a file's column is
     scanned if any of its row groups holds several loads or rows without one, has plain pages or lacks statistics, and
-    numbers are, because different values are counted.
+    numbers are, because different values are counted. Columns in `skip` have no parts: if it is None, the load and
+    record_id; with () all columns have them. Files may differ in columns and types, and may lack the load.
     """
-    f = cut(footers(spark, path, load).where(~F.col("column").isin(load, *skip)))
+    skip = ("record_id", load) if skip is None else skip
+    wanted = ~F.col("column").isin(*skip)
+    f = cut(footers(spark, path, load))
     one = F.coalesce((F.col("load_low") == F.col("load_high")) & F.col("nulls").isNotNull() & F.col("all_dictionary") & (F.col("type") == "text"), F.lit(False))
-    enough = f.groupBy("path", "column").agg(F.bool_and(one).alias("enough"))
-    known = f.join(enough.where("enough"), ["path", "column"], "left_semi")
+    enough = f.groupBy("path", "column").agg(F.bool_and(one).alias("enough"), F.first("stored").alias("stored"))
+    known = f.where(wanted).join(enough.where("enough"), ["path", "column"], "left_semi")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import pyarrow as pa
@@ -129,26 +136,30 @@ def parts(spark: SparkSession, path: str, load: str = "file_id", skip: tuple[str
         for pdf in batches:
             for row in pdf.itertuples():
                 held = opened(row.path, (row.column,)).read_row_group(row.row_group, columns=[row.column]).column(0)
-                values = [v for v in pa.concat_arrays([k.dictionary for k in held.chunks]).unique().to_pylist() if v is not None] if held.num_chunks else []
+                used = [k.dictionary.take(k.indices.unique().drop_null()) for k in held.chunks]  # a writer may have put in what no row holds
+                values = [v for v in pa.concat_arrays(used).unique().to_pylist() if v is not None] if used else []
                 low, high = (row.low, row.high) if row.exact or not values else (min(values), max(values))
                 out = [(row.load_low, row.column, row.type, row.rows, row.nulls, 0, low, high, None, "dictionary")]
                 yield pd.DataFrame(out + [(row.load_low, row.column, row.type, 0, 0, 0, None, None, v, "dictionary") for v in values], columns=names)
 
     found = spread(known, "path", "row_group", "column").mapInPandas(run, PART)
-    # files whose columns need the same scan are read together; paths are what the driver has listed anyway
-    sets = enough.groupBy("path").agg(F.array_sort(F.collect_list(F.when(~F.col("enough"), F.col("column")))).alias("columns")).where(F.size("columns") > 0)
-    for r in sets.groupBy("columns").agg(F.sort_array(F.collect_list("path")).alias("paths")).collect():
+    # files whose columns need the same scan, of the same types, are read together; paths are what the driver has listed anyway
+    sets = enough.groupBy("path").agg(
+        F.array_sort(F.collect_list(F.when(wanted & ~F.col("enough"), F.struct("column", "stored")))).alias("columns"), F.max(F.when(F.col("column") == load, F.col("stored"))).alias("load")
+    ).where(F.size("columns") > 0)
+    for r in sets.groupBy("columns", "load").agg(F.sort_array(F.collect_list("path")).alias("paths")).collect():
+        columns = [c.column for c in r.columns]
         df = spark.read.parquet(*r.paths)
-        found = found.unionByName(scanned(df if load in df.columns else df.withColumn(load, F.lit(None).cast("string")), list(r.columns), load))
+        found = found.unionByName(scanned(df if r.load else df.withColumn(load, F.lit(None).cast("string")), columns, load))
     return found
 
 
-def load_profiles(spark: SparkSession, path: str, load: str = "file_id") -> DataFrame:
+def load_profiles(spark: SparkSession, path: str, load: str = "file_id", skip: tuple[str, ...] | None = None) -> DataFrame:
     """file_id, column_name, rows, null_rate (nulls and NaN over rows, four decimals), distinct_count (without those), inferred_type, low, high of each load and column.
 
-    Rows without a load form a load of their own, null. An empty table gives no rows.
+    Rows without a load form a load of their own, null. An empty table gives no rows. `skip` is that of parts().
     """
-    p = parts(spark, path, load)
+    p = parts(spark, path, load, skip)
     per_value = p.groupBy("load", "column", "value").agg(
         F.first("type").alias("type"), F.sum("rows").alias("rows"), F.sum("nulls").alias("nulls"), F.sum("nan").alias("nan"), F.min("low").alias("low"), F.max("high").alias("high"),
         F.min(F.expr("try_cast(low AS double)")).alias("low_n"), F.max(F.expr("try_cast(high AS double)")).alias("high_n"),
@@ -160,9 +171,9 @@ def load_profiles(spark: SparkSession, path: str, load: str = "file_id") -> Data
     )
 
 
-def all_profiles(spark: SparkSession, folder: str) -> DataFrame:
-    """table_name and what load_profiles gives, of every column of every load of the three TABLES."""
-    found = [load_profiles(spark, f"{folder}/{t}.parquet").withColumn("table_name", F.lit(t)) for t in TABLES]
+def all_profiles(spark: SparkSession, folder: str, skip: tuple[str, ...] = KEYS) -> DataFrame:
+    """table_name and what load_profiles gives, of every column, but those in `skip`, of every load of the three TABLES."""
+    found = [load_profiles(spark, f"{folder}/{t}.parquet", skip=skip).withColumn("table_name", F.lit(t)) for t in TABLES]
     return reduce(DataFrame.unionByName, found).select("table_name", "file_id", "column_name", "rows", "null_rate", "distinct_count", "inferred_type", "low", "high")
 
 
@@ -229,12 +240,10 @@ TABLES = ("procurement_export_batch1", "procurement_export_batch2", "finance_ext
 
 def wrong_and_shifted(spark: SparkSession, folder: str) -> DataFrame:
     """file_id, column_name, kind: `stored` for wrong stored profile rows, `shifted` for departing loads of batch 1."""
-    computed = None
-    for t in TABLES:
-        p = load_profiles(spark, f"{folder}/{t}.parquet").select("file_id", "column_name", "null_rate", "distinct_count", "inferred_type")
-        computed = p if computed is None else computed.unionByName(p)
-    computed = cut(computed)
     stored = spark.read.parquet(f"{folder}/column_profile.parquet")
+    # stored rows may be about keys too; keys that none is about decide no row here
+    named = {r.column_name for r in stored.where(F.col("column_name").isin(*KEYS)).select("column_name").distinct().collect()}
+    computed = cut(all_profiles(spark, folder, tuple(k for k in KEYS if k not in named)).select("file_id", "column_name", "null_rate", "distinct_count", "inferred_type"))
     batch1 = spark.read.parquet(f"{folder}/{TABLES[0]}.parquet")
     off = shifted(batch1, ("employee_count", "region_code"), ("compliance_flag",), ("registration_number",))
     return wrong_rows(stored, computed).withColumn("kind", F.lit("stored")).unionByName(off.select("file_id", "column_name", F.lit("shifted").alias("kind")).distinct())

@@ -58,11 +58,16 @@ def p7_profiles(spark: SparkSession, d: str) -> DataFrame:
     return footers.all_profiles(spark, d)
 
 
+def p7_columns(spark: SparkSession, d: str) -> DataFrame:
+    """As p7_profiles, of every column: the keys record_id and file_id too."""
+    return footers.all_profiles(spark, d, ())
+
+
 def p7_tables(spark: SparkSession, d: str) -> DataFrame:
     return footers.table_profiles(spark, d)
 
 
-QUERIES = {q.__name__: q for q in (p1_found, p1_filled, p1_filled_finance, p2_found, p2_table, p2_batches, p2_report, p2_versions, p7_found, p7_profile, p7_profiles, p7_tables)}
+QUERIES = {q.__name__: q for q in (p1_found, p1_filled, p1_filled_finance, p2_found, p2_table, p2_batches, p2_report, p2_versions, p7_found, p7_profile, p7_profiles, p7_columns, p7_tables)}
 
 _WORDS = "('', '-', '--', '?', 'n/a', 'na', '#n/a', 'nan', 'null', 'none', 'nil', 'unknown', 'not provided', 'not available', 'not known', 'missing', 'pending', 'tbd', 'tbc', 'undefined')"
 
