@@ -50,26 +50,39 @@ NUMBER = re.compile(r"\d+(?:[.,]\d+)*")
 ODD = r"^[a-zà-ÿ]+(?:[015689!|]+[a-zà-ÿ]+)+$"
 #: Page numbers on lines of their own, and such as are known by their form anywhere.
 PAGE_LINE = re.compile(r"^[^\S\n]*(?:(?:Page|Seite|PAGE|page|p\.|S\.|Pag\.)[^\S\n]?\d{1,4}(?:[^\S\n](?:of|von|/)[^\S\n]\d{1,4})?|-[^\S\n]?\d{1,4}[^\S\n]?-|\[\d{1,4}\]|\d{1,4}(?:[^\S\n]?/[^\S\n]?\d{1,4})?)[^\S\n]*$", re.M)
-PAGE_IN = re.compile(r"(?:(?:Page|Seite|page|p\.|PAGE|SEITE) \d{1,4}(?: (?:of|von|OF) \d{1,4})?|- \d{1,4} -|\[\d{1,4}\]|\d{1,4} / \d{1,4})")
+PAGE_IN = re.compile(r"[PSp\[\d-](?:(?:(?<=P)(?:age|AGE)|(?<=S)(?:eite|EITE)|(?<=p)(?:age|\.)) \d{1,4}(?: (?:of|von|OF) \d{1,4})?|(?<=-) \d{1,4} -|(?<=\[)\d{1,4}\]|(?<=\d)\d{0,3} / \d{1,4})")  # first letters as a set: re looks for those alone
 #: Parts of a compound.
 PARTS = re.compile(r"[^-’']+")
 def rejoined(text: str) -> str:
     return PARTED.sub("", text)
 
 
-def tokens(text: str) -> list[str]:
-    return [w if w.isalpha() else "9" if w.isdigit() else w.strip(EDGES) for w in WORD.findall(text.lower())]
+class Tokens(dict):
+    """The words of what stands between blanks, in lower case, numbers as 9, a blank behind each: most of it comes again and again."""
+
+    def __missing__(self, chunk: str) -> str:
+        self[chunk] = found = "".join([f"{w if w.isalpha() else '9' if w.isdigit() else w.strip(EDGES)} " for w in WORD.findall(chunk)])
+        return found
+
+
+def tokens(text: str, known: Tokens) -> str | None:
+    """The words of a text, a blank between two; None if it has none."""
+    found = "".join(map(known.__getitem__, text.lower().split()))
+    return found[:-1] if found else None
 
 
 def sentences(chunks: DataFrame) -> DataFrame:
     """words: the words of each text, in lower case, numbers as 9, parted words joined."""
 
-    @F.pandas_udf("array<string>")
+    @F.pandas_udf("string")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in batches:
-            yield pd.Series([tokens(rejoined(t)) for t in texts], dtype=object)
+            known = Tokens()  # as large as a batch at most
+            yield pd.Series([tokens(rejoined(t), known) for t in texts], dtype=object)
 
-    return chunks.where(F.length("text") > 0).select(run(F.col("text")).alias("words"))
+    # as one string they come out of Python at less cost; no word has a blank
+    joined = chunks.where(F.length("text") > 0).select(run(F.col("text")).alias("joined"))
+    return joined.select(F.coalesce(F.split("joined", " "), F.array().cast("array<string>")).alias("words"))
 
 
 def vectors(texts: DataFrame, words: DataFrame, most: int = VOCABULARY) -> DataFrame:
@@ -208,8 +221,20 @@ class Reader:
         return right if score >= FITTING else None
 
 
-def find_traces(text: str, reader: Reader, right: dict[str, list[tuple[str, int]]], hyphened: dict[str, str | None], running: set[str], page: int | None = None) -> list[tuple[int, int, str, str]]:
-    """(begin, end, kind, what to put there) of each trace, in order of place and without overlaps. Where the chunk's page is known, another number is no page number."""
+def needs_mending(word: str, right: dict[str, list[tuple[str, int]]], hyphened: dict[str, str | None]) -> bool:
+    """Whether a word in lower case, or a part of it, is linked to others or known without its hyphen."""
+    if word in right:
+        return True
+    return not word.isalnum() and bool("-" in word and hyphened.get(word) or any(x.strip(EDGES) in right for x in PARTS.findall(word)))
+
+
+def find_traces(text: str, reader: Reader, right: dict[str, list[tuple[str, int]]], hyphened: dict[str, str | None], running: set[str], page: int | None = None, plainly: set[str] | None = None) -> list[tuple[int, int, str, str]]:
+    """(begin, end, kind, what to put there) of each trace, in order of place and without overlaps. Where the chunk's page is known, another number is no page number.
+
+    plainly: what stands between blanks, in lower case, and has no word that needs mending by `right` and `hyphened`; more
+    of it is put in.
+    """
+    plainly = set() if plainly is None else plainly
     found: list[tuple[int, int, str, str]] = []
     taken = bytearray(len(text))
 
@@ -226,7 +251,7 @@ def find_traces(text: str, reader: Reader, right: dict[str, list[tuple[str, int]
     if "\n" in text:
         at = 0
         for line in text.split("\n"):
-            if running and line.strip().lower() in running or any(p.fullmatch(line.strip()) for p in shaped):
+            if running and line.strip().lower() in running or shaped and any(p.fullmatch(line.strip()) for p in shaped):
                 take(at, at + len(line), "header", "")
             elif len(line) < 24 and PAGE_LINE.match(line) and of_page(line):
                 take(at, at + len(line), "page_number", "")
@@ -252,12 +277,19 @@ def find_traces(text: str, reader: Reader, right: dict[str, list[tuple[str, int]
             if whole in hyphened and hyphened[whole] is None:
                 continue
         take(head.start(), tail.end(), "hyphenation", head.group() + tail.group())
-    seen = WORD.findall(low)
-    marked = [w for w in seen if not w.isalnum()]
-    compound = [w for w in marked if "-" in w or "'" in w or "’" in w]
-    if not right.keys().isdisjoint(seen) or not right.keys().isdisjoint([w.strip(EDGES) for w in marked]) or any(hyphened.get(w) or any(x in right for x in PARTS.findall(w)) for w in compound):
+    bad = set()
+    for chunk in set(low.split()) - plainly:
+        here = {w for w in WORD.findall(chunk) if needs_mending(w, right, hyphened)}
+        bad |= here
+        if not here:
+            plainly.add(chunk)
+    if bad:
+        seen = WORD.findall(low)
         plain = [w.strip(EDGES) for w in seen]
+        same_places = len(low) == len(text)  # few letters get longer in lower case
         for k, m in enumerate(WORD.finditer(text)):
+            if same_places and seen[k] not in bad:
+                continue
             word = m.group().lower()
             if word not in right and word.isalnum():
                 continue
@@ -266,7 +298,7 @@ def find_traces(text: str, reader: Reader, right: dict[str, list[tuple[str, int]
             for part in PARTS.finditer(m.group()) if not word.isalnum() else (m,):
                 w = part.group().strip(EDGES).lower()
                 if w in right and (part.group()[0].islower() or right[w][0][0] != w) and (new := reader.fitting(right[w], plain[max(0, k - AROUND) : k] + plain[k + 1 : k + 1 + AROUND])):
-                    b = part.start() + (m.start() if part is not m else 0)
+                    b = part.start() + (m.start() if part is not m else 0) + len(part.group()) - len(part.group().lstrip(EDGES))
                     take(b, b + len(w), "characters", new.upper() if part.group().isupper() else new.capitalize() if part.group()[0].isupper() else new)
     return sorted(found)
 
@@ -294,9 +326,10 @@ def learn(chunks: DataFrame) -> Learned:
     return cut(links(words)), cut(compounds(words)), running, shapes(running), cut(vectors(texts, words))
 
 
-def repair(chunks: DataFrame, text: str = "text", learned: Learned | None = None, whole: str | None = None, page: str | None = None) -> DataFrame:
+def repair(chunks: DataFrame, text: str = "text", learned: Learned | None = None, whole: str | None = None, page: str | None = None, kinds: bool = False) -> DataFrame:
     """`chunks` with repaired_text, and traces: an array of {kind, was, now} in order; with `whole`, a column that may hold
     the text under its heading, also repaired_<whole> and <whole>_traces. `page` is the column of the chunk's page number.
+    With `kinds`, only kinds, the array of different kinds of the text's traces, in the place of all these.
 
     Links and compounds go to the tasks as a dictionary while they have at most HELD entries; beyond that each chunk's come
     to it by joins. A file's titles come by a join, vectors (at most VOCABULARY) to the tasks. Null texts stay null without
@@ -306,6 +339,8 @@ def repair(chunks: DataFrame, text: str = "text", learned: Learned | None = None
     made = {"repaired_text": "string", "traces": "array<struct<kind:string,was:string,now:string>>"}
     if whole:
         made |= {f"repaired_{whole}": "string", f"{whole}_traces": made["traces"]}
+    if kinds:
+        made = {"kinds": "array<string>"}
     base, struct = chunks.drop(*made), f"struct<{','.join(f'{n}:{t}' for n, t in made.items())}>"
     texts_of = (F.col(text), F.col(whole) if whole else F.lit(None).cast("string"), F.col(page).cast("string") if page else F.lit(None).cast("string"))
     pairs = trained.collect()  # at most VOCABULARY
@@ -314,9 +349,11 @@ def repair(chunks: DataFrame, text: str = "text", learned: Learned | None = None
     def result(t: str, found: list[tuple[int, int, str, str]]) -> tuple:
         return repaired(t, found) if found else t, [{"kind": k, "was": t[b:e], "now": new} for b, e, k, new in found]
 
-    def mend(t: str | None, w: str | None, p: str | None, *known) -> tuple:
+    def mend(t: str | None, w: str | None, p: str | None, *known, plainly: set[str] | None = None) -> tuple:
         at = int(p) if p else None
-        found = find_traces(t, *known, at) if t else []
+        found = find_traces(t, *known, at, plainly) if t else []
+        if kinds:
+            return (sorted({k for _, _, k, _ in found}),)
         out = result(t, found) if t else (t, [])
         if not whole:
             return out
@@ -325,9 +362,9 @@ def repair(chunks: DataFrame, text: str = "text", learned: Learned | None = None
         head = w[: len(w) - len(t)] if t and w.endswith(t) else ""
         # a heading on lines of its own: what was found in the text stands as far behind it
         if "\n" in (t or "") and head.endswith("\n") and head.rstrip()[-1:] not in "-‐¬\xad":
-            both = find_traces(head, *known, at) + [(b + len(head), e + len(head), k, new) for b, e, k, new in found]
+            both = find_traces(head, *known, at, plainly) + [(b + len(head), e + len(head), k, new) for b, e, k, new in found]
             return *out, *result(w, both)
-        return *out, *result(w, find_traces(w, *known, at))
+        return *out, *result(w, find_traces(w, *known, at, plainly))
 
     here = running.groupBy("file_id").agg(F.collect_list("title").alias("__t"))  # few lines a file
     base = base.join(F.broadcast(here) if running.count() <= HELD else here, "file_id", "left")
@@ -339,10 +376,12 @@ def repair(chunks: DataFrame, text: str = "text", learned: Learned | None = None
         def run(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.DataFrame]:
             reader = Reader(*known.value)
             for *columns, here in batches:
-                done = [mend(*row, reader, *held.value, set() if ts is None else set(ts)) for *row, ts in zip(*columns, here)]
+                plainly = set()  # as large as a batch at most
+                done = [mend(*row, reader, *held.value, set() if ts is None else set(ts), plainly=plainly) for *row, ts in zip(*columns, here)]
                 yield pd.DataFrame(done, columns=list(made))
 
-        return base.withColumn("__m", run(*texts_of, F.col("__t"))).select(*[c for c in chunks.columns if c not in made], "__m.*")
+        once = run.asNondeterministic() if kinds else run  # else Spark would run it twice, as a filter of the explode too
+        return base.withColumn("__m", once(*texts_of, F.col("__t"))).select(*[c for c in chunks.columns if c not in made], "__m.*")
 
     @F.pandas_udf(struct)
     def run_joined(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.DataFrame]:
@@ -365,10 +404,11 @@ def repair(chunks: DataFrame, text: str = "text", learned: Learned | None = None
     of_row = words.join(rights, "word").groupBy("__row").agg(F.collect_list(F.struct("word", "to")).alias("__r"))
     hyphens = words.join(hyphened, "word").groupBy("__row").agg(F.collect_list(F.struct("word", "joined")).alias("__h"))
     joined = base.join(of_row, "__row", "left").join(hyphens, "__row", "left")
-    return joined.withColumn("__m", run_joined(*texts_of, F.col("__r"), F.col("__h"), F.col("__t"))).select(*[c for c in chunks.columns if c not in made], "__m.*")
+    once = run_joined.asNondeterministic() if kinds else run_joined
+    return joined.withColumn("__m", once(*texts_of, F.col("__r"), F.col("__h"), F.col("__t"))).select(*[c for c in chunks.columns if c not in made], "__m.*")
 
 
 def traces(chunks: DataFrame) -> DataFrame:
     """id, kind: each kind of trace that the text of the chunk has, once."""
-    done = repair(chunks.select("id", "file_id", "text", "page_number"), page="page_number")
-    return done.select("id", F.explode(F.array_distinct(F.transform("traces", lambda t: t["kind"]))).alias("kind")).distinct()
+    done = repair(chunks.select("id", "file_id", "text", "page_number"), page="page_number", kinds=True)
+    return done.select("id", F.explode("kinds").alias("kind")).distinct()

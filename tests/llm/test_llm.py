@@ -157,6 +157,28 @@ def test_scans_are_repaired(spark, monkeypatch):
     assert scans.traces(df.where("false")).count() == 0
 
 
+def test_words_are_looked_at_once_and_only_kinds_are_made_for_kinds(spark, monkeypatch):
+    texts = ["", "- ?", "Don't pay 1,000 to O’Neil_x (a-b); !ab| 7x ÄÖ\u00a0ß\u2003end -- '", "The order the order"]
+    plain = lambda t: [w if w.isalpha() else "9" if w.isdigit() else w.strip(scans.EDGES) for w in scans.WORD.findall(t.lower())]
+    df = spark.createDataFrame([(str(i), "f", None, t, None, 1) for i, t in enumerate(texts)], CHUNK)
+    assert sorted(tuple(r.words) for r in scans.sentences(df).collect()) == sorted(tuple(plain(t)) for t in texts if t)
+    # what is known to need no mending isn't looked at again, and changes nothing
+    right, text, looked = {"c0ntract": [("contract", 40)]}, "The c0ntract, the (c0ntract) of (the) !c0ntract-order", []
+    reader, ask = scans.Reader([], [], np.zeros((0, 2), dtype=np.float32)), scans.needs_mending
+    monkeypatch.setattr(scans, "needs_mending", lambda w, *known: looked.append(w) or ask(w, *known))
+    plainly: set[str] = set()
+    found = [scans.find_traces(text, reader, right, {}, set(), None, plainly) for _ in range(2)]
+    assert found[0] == found[1] == [(b, b + 8, "characters", "contract") for b in (4, 19, 39)]
+    assert plainly == {"the", "of", "(the)"} and looked.count("of") == 1 and looked.count("c0ntract") == 4
+    assert scans.find_traces("aİ c0ntract", reader, right, {}, set(), None, plainly) == [(3, 11, "characters", "contract")]  # İ gets longer in lower case
+    monkeypatch.setattr(scans, "needs_mending", ask)
+    monkeypatch.setattr(scans, "repaired", None)  # kinds need no repaired text
+    done = scans.traces(scan_corpus(spark))
+    assert done._jdf.queryExecution().optimizedPlan().toString().count("ArrowEvalPython") == 1  # texts are looked through once
+    got = {(r.id, r.kind) for r in done.collect()}
+    assert got == {("a", "hyphenation"), ("a", "characters"), ("a", "header"), ("b", "header"), ("b", "page_number"), ("b", "hyphenation"), ("b", "characters")}
+
+
 def test_linked_words_are_chosen_by_the_words_around():
     rows = np.array([[1, 0], [0, 1], [1, 0.1], [0.1, 1], [-1, -1]], dtype=np.float32)
     reader = scans.Reader([], ["clear", "dear", "sky", "friend", "tax"], rows)
